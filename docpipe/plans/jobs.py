@@ -10,8 +10,14 @@ from pyspark.sql import functions as F
 from docpipe.functions.text import DEFAULT_LIMIT
 from docpipe.operators import chunking, embedding, links, pages, retrieval
 from docpipe.schemas import HITS
+from docpipe.scratch import cut_lineage
 from docpipe.sources import vector_store
 
+# Up to this many files are named in the scan of the hits' texts, and up to this many hits (ids and
+# places, no texts) are broadcast to it; beyond, the hits are joined by shuffle.
+FEW_FILES = 1000
+FEW_HITS = 100_000
+
 
 def site_to_markdown(
     stored: DataFrame, base_url: str | None = None, path_filter: str = ""
@@ -61,18 +67,26 @@ def retrieve(
 ) -> DataFrame:
     """The k nearest stored chunks per row of ``queries(query_id, query_text)``.
 
-    The search reads only ids and vectors and carries each row's place in its file; text and source
-    are then fetched for the hits alone. A missing table or an unembeddable query gives no rows.
+    The search reads only ids and vectors and carries each row's place in its file. Its result, at
+    most k rows per query, is kept; text and source are then fetched for those rows alone, from the
+    files that hold them where these are few. A missing table or an unembeddable query gives no
+    rows.
     """
     if not vector_store.has_table(spark, path):
         return spark.createDataFrame([], HITS)
     stored = vector_store.open_table(spark, path)
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
     asked = embedding.embed(queries, "query_text", backend).select("query_id", "vector")
-    hits = retrieval.nearest(
-        stored.select("id", "vector", *place), asked, k, keep=("id", "_file", "_row"))
-    rows = stored.select("text", "source_path", *place)
-    return hits.join(rows, ["_file", "_row"]).select(
+    hits = cut_lineage(retrieval.nearest(
+        stored.select("id", "vector", *place), asked, k, keep=("id", "_file", "_row")))
+    rows = stored
+    files = [r["_file"] for r in hits.select("_file").distinct().limit(FEW_FILES + 1).collect()]
+    if len(files) <= FEW_FILES:
+        rows = rows.filter(F.col("_metadata.file_path").isin(files))
+    rows = rows.select("text", "source_path", *place)
+    if hits.limit(FEW_HITS + 1).count() <= FEW_HITS:
+        hits = F.broadcast(hits)
+    return rows.join(hits, ["_file", "_row"]).select(
         "query_id", "rank", "id", "source_path", "text", "distance")
 
 
