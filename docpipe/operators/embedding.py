@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docpipe.functions.columns import with_once
 from docpipe.functions.vectors import DEFAULT_WIDTH, hashed_vector
 
 VECTOR = T.ArrayType(T.FloatType())
@@ -26,7 +27,7 @@ Backend = Callable[[DataFrame, str, str], DataFrame]
 def hashed(width: int = DEFAULT_WIDTH) -> Backend:
     """Bag of words hashed to ``width`` buckets, native columns only."""
     def embed(df: DataFrame, text_col: str, out: str) -> DataFrame:
-        return df.withColumn(out, hashed_vector(F.col(text_col), width))
+        return with_once(df, out, hashed_vector(F.col(text_col), width))
 
     return embed
 

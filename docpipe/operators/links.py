@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions import urls
+from docpipe.functions.columns import with_once
 from docpipe.operators.pages import page_tokens, parse_pages
-from docpipe.scratch import cut_lineage
+from docpipe.scratch import cut_lineage_in_place
 
 # Finished levels are merged into one table whenever this many have piled up.
 LEVELS_KEPT_APART = 8
@@ -30,7 +31,7 @@ def extract_links(pages: DataFrame, prune_first: bool = True) -> DataFrame:
 def resolve_links(links: DataFrame) -> DataFrame:
     """Adds ``target``, the absolute URL without fragment; unresolvable links drop out."""
     target = urls.resolve(F.col("url"), F.col("href"))
-    return links.withColumn("target", target).filter(F.col("target").isNotNull())
+    return with_once(links, "target", target).filter(F.col("target").isNotNull())
 
 
 def in_scope(links: DataFrame, base_url: str, path_filter: str, url_col: str = "target") -> DataFrame:
@@ -68,8 +69,8 @@ def crawl(
     """Breadth-first reach over ``links(url, target)`` from ``seeds(url)``: (url, depth).
 
     A target counts when it has its seed's host and contains ``path_filter``; seeds are exempt. The
-    edges are scoped, reduced to distinct pairs, placed by source and written once; so each level
-    moves only its frontier. Every level is checkpointed, which keeps the plan flat and lets the
+    edges are scoped, reduced to distinct pairs, placed and sorted by source and written once; so
+    they stay where they are, and a level moves only URLs seen so far. Every level is checkpointed, which keeps the plan flat and lets the
     job outlive lost executors. The loop ends at the first empty level.
     """
     spark = links.sparkSession
@@ -81,18 +82,18 @@ def crawl(
                 & F.contains(target, F.lit(path_filter)))
         .distinct()
     )
-    edges = cut_lineage(edges.repartition(parts, "url"))
-    frontier = cut_lineage(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
+    edges = cut_lineage_in_place(edges.repartition(parts, "url").sortWithinPartitions("url"))
+    frontier = cut_lineage_in_place(
+        seeds.select("url").distinct().withColumn("depth", F.lit(0)))
     levels, depth = [frontier], 0
     while max_depth is None or depth < max_depth:
         depth += 1
         found = frontier.join(edges, "url").select(target.alias("url")).distinct()
-        for level in levels:
-            found = found.join(level.select("url"), "url", "left_anti")
-        frontier = cut_lineage(found.withColumn("depth", F.lit(depth)))
+        found = found.join(_union(levels).select("url"), "url", "left_anti")
+        frontier = cut_lineage_in_place(found.withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         levels.append(frontier)
         if len(levels) > LEVELS_KEPT_APART:
-            levels = [cut_lineage(_union(levels).repartition(parts, "url"))]
+            levels = [cut_lineage_in_place(_union(levels).repartition(parts, "url"))]
     return _union(levels)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docpipe.functions import urls
-from docpipe.functions.columns import let, struct_of
+from docpipe.functions.columns import let, struct_of, with_once
 from docpipe.functions.markdown import SILENT, to_markdown
 from docpipe.functions.outline import outline
 
@@ -83,9 +83,9 @@ def parse_pages(pages: DataFrame) -> DataFrame:
         ))),
         lambda t: t.isNotNull(),
     )
-    parsed = parsed.withColumn("openings", openings)
+    parsed = with_once(parsed, "openings", openings)
     choices = [F.get(F.filter("openings", rule), F.lit(0)) for rule in CONTENT]
-    parsed = parsed.withColumn("content", let(F.coalesce(*choices), lambda t: F.when(
+    parsed = with_once(parsed, "content", let(F.coalesce(*choices), lambda t: F.when(
         t.isNotNull(), struct_of(pos=t["pos"], stop=t["stop"]))))
     parsed = parsed.filter(F.col("content").isNotNull())
     # The content element and its ancestors stay even when they look like navigation.

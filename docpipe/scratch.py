@@ -29,3 +29,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint, so the plan stays flat and survives lost executors."""
     scratch_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cut_lineage_in_place(df: DataFrame) -> DataFrame:
+    """Checkpoint that keeps how ``df`` is partitioned and sorted, so later joins on those keys do
+    not move it again. Spark records the layout only of a plan that is fixed before it runs, hence
+    without adaptive execution for this one job."""
+    spark = df.sparkSession
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return cut_lineage(df)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
