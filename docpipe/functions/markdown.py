@@ -82,6 +82,7 @@ def to_markdown(tokens: Column) -> Column:
     text = F.array_join(pieces, "")
     blank = rf"[ {LINE}{SPACE}{PRE_LINE}]*{PARA}[ {PARA}{LINE}{PRE_LINE}]*"
     text = F.regexp_replace(text, blank, "\n\n")
+    text = F.regexp_replace(text, " {2,}", " ")
     text = F.regexp_replace(text, rf" *{LINE}[ {LINE}]*", "\n")
     text = F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
     text = F.regexp_replace(text, PRE_LINE, "\n" + INDENT)

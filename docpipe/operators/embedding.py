@@ -55,7 +55,10 @@ def model(load: Callable[[], Model], batch_size: int = BATCH_TEXTS) -> Backend:
     encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
 
     def embed(df: DataFrame, text_col: str, out: str) -> DataFrame:
-        return df.withColumn(out, F.pandas_udf(encode, VECTOR)(F.col(text_col)))
+        # Marked so that a filter on the vectors is not moved before the model, which would make
+        # the model run twice, and over other batches the second time.
+        encoded = F.pandas_udf(encode, VECTOR).asNondeterministic()
+        return df.withColumn(out, encoded(F.col(text_col)))
 
     return embed
 

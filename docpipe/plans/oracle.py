@@ -134,8 +134,9 @@ tail AS (
 joined AS (
     SELECT page_id, body.md || coalesce(tail.md, '') AS md FROM body LEFT JOIN tail USING (page_id)),
 markdowns AS (
-    SELECT page_id, replace(regexp_replace(regexp_replace(regexp_replace(md,
+    SELECT page_id, replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(md,
         '[ \x02\x03]*\x01[ \x01\x02]*', E'\n\n', 'g'),
+        ' {{2,}}', ' ', 'g'),
         ' *\x02[ \x02]*', E'\n', 'g'),
         '^[ \n]+|[ \n]+$', '', 'g'), chr(3), ' ') AS markdown
     FROM joined)"""
