@@ -4,28 +4,35 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions import urls
 from docpipe.functions.columns import with_once
 from docpipe.operators.pages import page_tokens, parse_pages
 from docpipe.scratch import cut_lineage_in_place
+from docpipe.session import plan_bytes
 
 # Finished levels are merged into one table whenever this many have piled up.
 LEVELS_KEPT_APART = 8
+EDGE_BYTES = 64 << 20
 
 
-def extract_links(pages: DataFrame, prune_first: bool = True) -> DataFrame:
-    """One row per <a href> that is not a pure fragment. By default links that only occur in pruned
-    navigation are not followed; pages without content have none."""
-    parsed = parse_pages(pages)
-    hrefs = F.transform(
+def page_hrefs(parsed: DataFrame, prune_first: bool = True) -> Column:
+    """The hrefs of a parsed page in document order."""
+    return F.transform(
         F.filter(page_tokens(parsed, prune_first), lambda t: (
             (t["kind"] == "open") & (t["tag"] == "a") & ~t["href"].startswith("#"))),
         lambda t: t["href"],
     )
-    return parsed.select("page_id", "url", F.explode(hrefs).alias("href"))
+
+
+def extract_links(pages: DataFrame, prune_first: bool = True) -> DataFrame:
+    """One row per <a href> that is not a pure fragment. By default links that only occur in pruned
+    navigation are not followed; pages without content have none."""
+    parsed = parse_pages(pages)
+    return parsed.select(
+        "page_id", "url", F.explode(page_hrefs(parsed, prune_first)).alias("href"))
 
 
 def resolve_links(links: DataFrame) -> DataFrame:
@@ -34,11 +41,14 @@ def resolve_links(links: DataFrame) -> DataFrame:
     return with_once(links, "target", target).filter(F.col("target").isNotNull())
 
 
-def in_scope(links: DataFrame, base_url: str, path_filter: str, url_col: str = "target") -> DataFrame:
+def scope(url: Column, base_url: str, path_filter: str) -> Column:
     """Same host[:port] as the base, and ``path_filter`` anywhere in the URL."""
-    url = F.col(url_col)
-    return links.filter(
-        (urls.authority(url) == urls.authority(F.lit(base_url))) & F.contains(url, F.lit(path_filter)))
+    return (urls.authority(url) == urls.authority(F.lit(base_url))) & F.contains(
+        url, F.lit(path_filter))
+
+
+def in_scope(links: DataFrame, base_url: str, path_filter: str) -> DataFrame:
+    return links.filter(scope(F.col("target"), base_url, path_filter))
 
 
 def unvisited(links: DataFrame, visited: DataFrame) -> DataFrame:
@@ -60,6 +70,14 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def _parts(links: DataFrame) -> int:
+    """Partitions for the edges: at least one per core, then by size, at most the session's own."""
+    spark = links.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    by_size = plan_bytes(links) // EDGE_BYTES
+    return max(1, min(most, max(spark.sparkContext.defaultParallelism, by_size)))
+
+
 def crawl(
     links: DataFrame,
     seeds: DataFrame,
@@ -73,8 +91,7 @@ def crawl(
     they stay where they are, and a level moves only URLs seen so far. Every level is checkpointed, which keeps the plan flat and lets the
     job outlive lost executors. The loop ends at the first empty level.
     """
-    spark = links.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = _parts(links)
     url, target = F.col("url"), F.col("target")
     edges = (
         links.select("url", "target")
@@ -82,18 +99,19 @@ def crawl(
                 & F.contains(target, F.lit(path_filter)))
         .distinct()
     )
-    edges = cut_lineage_in_place(edges.repartition(parts, "url").sortWithinPartitions("url"))
+    placed = edges.repartition(parts, "url").sortWithinPartitions("url")
+    edges = cut_lineage_in_place(placed, parts)
     frontier = cut_lineage_in_place(
-        seeds.select("url").distinct().withColumn("depth", F.lit(0)))
+        seeds.select("url").distinct().withColumn("depth", F.lit(0)), parts)
     levels, depth = [frontier], 0
     while max_depth is None or depth < max_depth:
         depth += 1
         found = frontier.join(edges, "url").select(target.alias("url")).distinct()
         found = found.join(_union(levels).select("url"), "url", "left_anti")
-        frontier = cut_lineage_in_place(found.withColumn("depth", F.lit(depth)))
+        frontier = cut_lineage_in_place(found.withColumn("depth", F.lit(depth)), parts)
         if frontier.isEmpty():
             break
         levels.append(frontier)
         if len(levels) > LEVELS_KEPT_APART:
-            levels = [cut_lineage_in_place(_union(levels).repartition(parts, "url"))]
+            levels = [cut_lineage_in_place(_union(levels).repartition(parts, "url"), parts)]
     return _union(levels)

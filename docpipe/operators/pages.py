@@ -150,15 +150,19 @@ def output_paths(pages: DataFrame) -> DataFrame:
         urls.output_path(F.col("url")).alias("output_path"))
 
 
+def markdown_of(parsed: DataFrame) -> DataFrame:
+    """page_id, url, host, output_path, markdown of parsed pages; other columns stay."""
+    made = {
+        "host": urls.authority(F.col("url")),
+        "output_path": urls.output_path(F.col("url")),
+        "markdown": to_markdown(content_tokens(parsed)),
+    }
+    return parsed.withColumns(made).drop("tokens", "content", "removed", "silent")
+
+
 def extract_markdown(pages: DataFrame) -> DataFrame:
     """page_id, url, host, output_path, markdown for every page that has content."""
-    parsed = parse_pages(pages)
-    return parsed.select(
-        "page_id", "url",
-        urls.authority(F.col("url")).alias("host"),
-        urls.output_path(F.col("url")).alias("output_path"),
-        to_markdown(content_tokens(parsed)).alias("markdown"),
-    )
+    return markdown_of(parse_pages(pages.select("page_id", "url", "html")))
 
 
 def latest_per_path(documents: DataFrame) -> DataFrame:

@@ -17,9 +17,12 @@ from pyspark.sql import types as T
 
 from docpipe.functions.vectors import DISTANCE_DIGITS, squared_l2
 
-# A query block of this many vectors is the most that is sent to every task. Larger query tables
-# are cut into such blocks and joined block by block.
-MAX_BLOCK = 4096
+# Query vectors sent to every task, at most: this many, and this many bytes as doubles.
+SENT_ROWS = 4096
+SENT_BYTES = 64 << 20
+# Beyond that the queries are cut into blocks of this many bytes, one of which a task holds at a
+# time. Every vector travels once per block, so blocks are as large as a task can well afford.
+BLOCK_BYTES = 256 << 20
 # Distances held at once in a task.
 TILE = 1 << 20
 
@@ -197,25 +200,28 @@ def _block_join(
 
 def nearest(
     vectors: DataFrame, queries: DataFrame, k: int = 3, keep: Sequence[str] = ("id",),
-    max_block: int = MAX_BLOCK,
+    max_block: int | None = None,
 ) -> DataFrame:
     """The k nearest rows of ``vectors(keep..., vector)`` for each row of ``queries(query_id,
     vector)``: query_id, rank from 1, kept columns, squared L2 ``distance``.
 
     Exact; equal distances rank by the first kept column. Null vectors, on either side, take no
-    part. Reads at most ``max_block`` + 1 query rows on the driver, to learn whether they fit.
+    part. Looks at the first ``SENT_ROWS`` + 1 queries at most to learn whether they fit;
+    ``max_block`` overrides both block limits, in rows.
     """
     vectors = vectors.filter(F.col("vector").isNotNull())
     queries = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
     schema = _hit_schema(vectors, queries, keep)
-    head = queries.limit(max_block + 1).collect()
+    head = queries.limit((max_block or SENT_ROWS) + 1).collect()
     if not head:
         partial = vectors.sparkSession.createDataFrame([], schema)
-    elif len(head) <= max_block:
-        partial = _against_all(vectors, head, k, keep, schema)
     else:
-        n_blocks = -(-queries.count() // max_block)
-        partial = _block_join(vectors, queries, n_blocks, k, keep, schema)
+        row_bytes = 8 * max(1, len(head[0]["vector"]))
+        if len(head) <= (max_block or min(SENT_ROWS, SENT_BYTES // row_bytes)):
+            partial = _against_all(vectors, head, k, keep, schema)
+        else:
+            n_blocks = -(-queries.count() // (max_block or max(1, BLOCK_BYTES // row_bytes)))
+            partial = _block_join(vectors, queries, n_blocks, k, keep, schema)
     order = Window.partitionBy("query_id").orderBy("distance", keep[0])
     return (
         partial.withColumn("rank", F.row_number().over(order))

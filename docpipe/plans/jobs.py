@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docpipe.functions.text import DEFAULT_LIMIT
 from docpipe.operators import chunking, embedding, links, pages, retrieval
 from docpipe.schemas import HITS
-from docpipe.scratch import cut_lineage
+from docpipe.scratch import cut_lineage, scratch_table
 from docpipe.sources import vector_store
 
 # Up to this many files are named in the scan of the hits' texts, and up to this many hits (ids and
@@ -25,15 +25,22 @@ def site_to_markdown(
     """Markdown of the stored pages, the last page per output path.
 
     With ``base_url`` only the pages a crawl from there reaches: links followed from page to page,
-    on the same host, through URLs that contain ``path_filter``.
+    on the same host, through URLs that contain ``path_filter``. No page outside that scope can be
+    reached, so none is parsed; those inside are parsed once, for links and text together.
     """
-    if base_url is not None:
-        spark = stored.sparkSession
-        found = links.resolve_links(links.extract_links(stored)).select("url", "target")
-        seeds = spark.createDataFrame([(base_url,)], "url string")
-        reached = links.crawl(found, seeds, path_filter).select("url")
-        stored = stored.join(reached, "url", "left_semi")
-    return pages.latest_per_path(pages.extract_markdown(stored))
+    if base_url is None:
+        return pages.latest_per_path(pages.extract_markdown(stored))
+    spark = stored.sparkSession
+    scope = links.scope(F.col("url"), base_url, path_filter) | (F.col("url") == base_url)
+    parsed = pages.parse_pages(stored.filter(scope))
+    parsed = pages.markdown_of(parsed.withColumn("hrefs", links.page_hrefs(parsed)))
+    path = scratch_table(spark, "site")
+    parsed.write.parquet(path)
+    site = spark.read.parquet(path)
+    found = links.resolve_links(site.select("url", F.explode("hrefs").alias("href")))
+    seeds = spark.createDataFrame([(base_url,)], "url string")
+    reached = links.crawl(found, seeds, path_filter).select("url")
+    return pages.latest_per_path(site.drop("hrefs").join(reached, "url", "left_semi"))
 
 
 def markdown_documents(markdown: DataFrame) -> DataFrame:

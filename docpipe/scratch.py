@@ -31,14 +31,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_lineage_in_place(df: DataFrame) -> DataFrame:
+def cut_lineage_in_place(df: DataFrame, parts: int) -> DataFrame:
     """Checkpoint that keeps how ``df`` is partitioned and sorted, so later joins on those keys do
     not move it again. Spark records the layout only of a plan that is fixed before it runs, hence
-    without adaptive execution for this one job."""
+    without adaptive execution, and with ``parts`` shuffle partitions, for this one job."""
     spark = df.sparkSession
-    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         return cut_lineage(df)
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        for key, value in before.items():
+            spark.conf.set(key, value)

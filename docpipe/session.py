@@ -25,15 +25,19 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate of the size of ``df``."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Spreads a scan over the cores when its files give fewer tasks than the data is worth.
 
     A large table already comes in more tasks than there are cores and is returned as it is.
     ``keys`` must be close to unique, so that the hash gives even parts.
     """
-    plan = df._jdf.queryExecution()
-    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
-    wanted = min(df.sparkSession.sparkContext.defaultParallelism, size // SPREAD_BYTES)
-    if plan.toRdd().getNumPartitions() >= wanted:
+    wanted = min(
+        df.sparkSession.sparkContext.defaultParallelism, plan_bytes(df) // SPREAD_BYTES)
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= wanted:
         return df
     return df.repartition(wanted, *keys)

@@ -111,9 +111,9 @@ def test_crawl_edges_are_not_moved_again(spark):
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = spark.range(1000).selectExpr("cast(id % 9 AS string) url", "cast(id AS string) target")
-    placed = cut_lineage_in_place(edges.repartition(parts, "url").sortWithinPartitions("url"))
+    placed = cut_lineage_in_place(edges.repartition(parts, "url").sortWithinPartitions("url"), parts)
     frontier = cut_lineage_in_place(
-        spark.range(5).selectExpr("cast(id AS string) url").repartition(parts, "url"))
+        spark.range(5).selectExpr("cast(id AS string) url").repartition(parts, "url"), parts)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = frontier.join(placed, "url")
