@@ -124,19 +124,17 @@ def sentences_within(text: Column, max_tokens: int) -> Column:
 
 
 def group_sentences(
-    parts: Column, vectors: Column, min_tokens: int, max_tokens: int, threshold: float
+    parts: Column, likeness: Column, min_tokens: int, max_tokens: int, threshold: float
 ) -> Column:
     """Greedy semantic grouping -> array of (text, token_count, sentences).
 
-    A chunk closes when the next sentence would pass ``max_tokens``, or when it holds at least
-    ``min_tokens`` and the next sentence is less similar than ``threshold`` to the one before it.
-    A sentence without a vector never forces a cut.
+    ``likeness`` compares every sentence with the one before it. A chunk closes when the next
+    sentence would pass ``max_tokens``, or when it holds at least ``min_tokens`` and the next
+    sentence is less like the one before it than ``threshold``. An unknown likeness never cuts.
     """
-    from docpipe.functions.vectors import neighbour_cosine
-
     chunk = "struct<text:string,token_count:int,sentences:array<string>>"
-    items = F.zip_with(parts, neighbour_cosine(vectors), lambda part, likeness: struct_of(
-        part=part, n=token_count(part), likeness=F.round(likeness, 6)))
+    items = F.zip_with(parts, likeness, lambda part, like: struct_of(
+        part=part, n=token_count(part), likeness=F.round(like, 6)))
 
     def one(item: Column) -> Column:
         return struct_of(text=item["part"], token_count=item["n"], sentences=F.array(item["part"]))

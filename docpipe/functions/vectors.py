@@ -62,6 +62,25 @@ def neighbour_cosine(vectors: Column) -> Column:
     return let(F.transform(vectors, lambda v: struct_of(v=v, n=norm(v))), measured)
 
 
+def neighbour_word_cosine(texts: Column, width: int = DEFAULT_WIDTH) -> Column:
+    """``neighbour_cosine`` of the hashed vectors of an array of texts, from the bucket lists alone:
+    summing, over the words of a text, how often each one's bucket occurs in the other text is the
+    dot product of their counts. Short texts touch few buckets, so no dense vector is made."""
+    def shared(a: Column, b: Column) -> Column:
+        return F.aggregate(a, F.lit(0), lambda total, bucket: (
+            total + F.size(b) - F.size(F.array_remove(b, bucket))))
+
+    def measured(items: Column) -> Column:
+        return F.transform(items, lambda item, i: F.when(i > 0, let(
+            F.get(items, i - 1),
+            lambda before: shared(item["b"], before["b"])
+            / F.nullif(F.sqrt(item["n"]) * F.sqrt(before["n"]), F.lit(0.0)),
+        )))
+
+    buckets = F.transform(texts, lambda t: word_buckets(t, width))
+    return let(F.transform(buckets, lambda b: struct_of(b=b, n=shared(b, b))), measured)
+
+
 def squared_l2(a: Column, b: Column) -> Column:
     """Squared Euclidean distance in double, rounded so that equal distances tie exactly."""
     squares = F.zip_with(

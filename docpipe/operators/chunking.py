@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from docpipe.functions import text as t
 from docpipe.functions.columns import struct_of
-from docpipe.functions.vectors import hashed_vector
+from docpipe.functions.vectors import neighbour_cosine, neighbour_word_cosine
 
 
 def _rows(docs: DataFrame, pieces: Column, text_col: str) -> DataFrame:
@@ -58,17 +58,17 @@ def chunk_semantic(
 ) -> DataFrame:
     """Sentence groups cut where neighbouring sentences differ, within the token bounds.
 
-    ``embed_sentences`` maps an array<string> column to an array of vectors; by default the hashed
-    embedding. A document's sentences never leave its row, so nothing is shuffled.
+    ``embed_sentences`` maps an array<string> column to an array of vectors; by default sentences
+    are compared as hashed bags of words. A document's sentences never leave its row, so nothing is
+    shuffled.
     """
-    if embed_sentences is None:
-        def embed_sentences(parts: Column) -> Column:
-            return F.transform(parts, lambda part: hashed_vector(part))
-
     cut = docs.withColumn("_parts", t.sentences_within(F.col(text_col), max_tokens))
-    cut = cut.withColumn("_vectors", embed_sentences(F.col("_parts")))
-    grouped = t.group_sentences(
-        F.col("_parts"), F.col("_vectors"), min_tokens, max_tokens, threshold)
+    if embed_sentences is None:
+        likeness = neighbour_word_cosine(F.col("_parts"))
+    else:
+        cut = cut.withColumn("_vectors", embed_sentences(F.col("_parts")))
+        likeness = neighbour_cosine(F.col("_vectors"))
+    grouped = t.group_sentences(F.col("_parts"), likeness, min_tokens, max_tokens, threshold)
     kept = [c for c in docs.columns if c != text_col]
     cut = cut.withColumn("_groups", grouped)
     spans = t.with_offsets(F.transform("_groups", lambda g: g["text"]))

@@ -93,13 +93,10 @@ def crawl(
     """
     parts = _parts(links)
     url, target = F.col("url"), F.col("target")
-    edges = (
-        links.select("url", "target")
-        .filter((urls.authority(url) == urls.authority(target))
-                & F.contains(target, F.lit(path_filter)))
-        .distinct()
-    )
-    placed = edges.repartition(parts, "url").sortWithinPartitions("url")
+    edges = links.select("url", "target").filter(
+        (urls.authority(url) == urls.authority(target)) & F.contains(target, F.lit(path_filter)))
+    # Placing by source first makes the distinct pairs a matter of each partition: one shuffle.
+    placed = edges.repartition(parts, "url").distinct().sortWithinPartitions("url")
     edges = cut_lineage_in_place(placed, parts)
     frontier = cut_lineage_in_place(
         seeds.select("url").distinct().withColumn("depth", F.lit(0)), parts)

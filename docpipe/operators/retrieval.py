@@ -47,6 +47,7 @@ class _Block:
         self.squares = np.einsum("ij,ij->i", matrix, matrix)
         self.bound = np.full(len(ids), np.inf)
         self.best: pa.Table | None = None
+        self.pending: list[pa.Table] = []
 
     def add(self, vectors: np.ndarray, kept: pa.RecordBatch) -> None:
         step = max(1, TILE // max(1, len(self.ids)))
@@ -75,11 +76,17 @@ class _Block:
         found = pa.Table.from_batches([kept]).take(pa.array(rows))
         found = found.append_column("_query", pa.array(queries.astype(np.int32)))
         found = found.append_column("distance", pa.array(np.round(exact, DISTANCE_DIGITS)))
-        self._merge(found)
-
-    def _merge(self, found: pa.Table) -> None:
-        if self.best is not None:
-            found = pa.concat_tables([self.best, found])
+        self.pending.append(found)
+        # Merging sorts everything kept so far, so it waits for as many candidates again - but not
+        # before every query has a bound to sift candidates with.
+        waiting = sum(map(len, self.pending))
+        if waiting >= self.k * len(self.ids) or np.isinf(self.bound).any():
+            self._merge()
+
+    def _merge(self) -> None:
+        kept = [] if self.best is None else [self.best]
+        found = pa.concat_tables([*kept, *self.pending])
+        self.pending = []
         found = found.sort_by([
             ("_query", "ascending"), ("distance", "ascending"), (self.names[0], "ascending")])
         query = found.column("_query").to_numpy()
@@ -89,6 +96,8 @@ class _Block:
         self.bound[query[last]] = found.column("distance").to_numpy()[last]
 
     def result(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.pending:
+            self._merge()
         if self.best is None:
             return
         query_ids = pa.array(self.ids, schema.field("query_id").type).take(

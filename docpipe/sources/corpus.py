@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from docpipe.schemas import DOCUMENTS
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Asks the file system the path belongs to, not the driver's disk."""
+def any_path(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path or glob pattern matches; asks the file system it belongs to, not the driver's
+    disk."""
     jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    where = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return found is not None and len(found) > 0
 
 
 def read_markdown(spark: SparkSession, directory: str) -> DataFrame:
@@ -22,7 +24,7 @@ def read_markdown(spark: SparkSession, directory: str) -> DataFrame:
     Line ends become \\n. Spark's listing leaves out names that start with ``_`` or ``.`` and files
     of zero length.
     """
-    if not path_exists(spark, directory):
+    if not any_path(spark, directory):
         return spark.createDataFrame([], DOCUMENTS)
     files = (
         spark.read.format("binaryFile")

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docpipe.schemas import VECTORS
-from docpipe.sources.corpus import path_exists
+from docpipe.sources.corpus import any_path
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return any_path(spark, f"{path.rstrip('/')}/*.parquet")
 
 
 def open_table(spark: SparkSession, path: str) -> DataFrame:
@@ -42,19 +42,14 @@ def _checked(df: DataFrame, width: int | None) -> DataFrame:
 def append_rows(df: DataFrame, path: str, width: int | None = None) -> None:
     """Create or append. An empty input changes nothing; errors are raised to the caller."""
     spark = df.sparkSession
-    if has_table(spark, path):
-        width = _width(open_table(spark, path)) or width
-        mode = "append"
-    else:
-        mode = "errorifexists"
-    width = width or _width(df)
-    if width is None:
-        return
-    _checked(df, width).write.mode(mode).parquet(path)
+    width = _width(open_table(spark, path)) or width or _width(df)
+    if width is not None:
+        _checked(df, width).write.mode("append").parquet(path)
 
 
 def replace_rows(df: DataFrame, path: str, width: int | None = None) -> None:
-    """Reset and store: the table holds exactly these rows afterwards."""
+    """Reset and store: the table holds exactly these rows afterwards. Give ``width`` to have it
+    checked; nothing is stored yet to compare with."""
     _checked(df, width).write.mode("overwrite").parquet(path)
 
 

@@ -202,3 +202,14 @@ def test_reports(spark):
 def test_token_count_column(spark):
     df = _docs(spark, ["a  b\nc", " "])
     assert [r[0] for r in df.select(t.token_count(F.col("text"))).collect()] == [3, 0]
+
+
+def test_word_likeness_is_the_cosine_of_the_hashed_vectors(spark):
+    from docpipe.functions import vectors as v
+
+    df = spark.createDataFrame([(["a b a", "b c", "...", "c", "c d e c", "c d e c"],)], "s array<string>")
+    dense = F.transform("s", lambda t: v.hashed_vector(t))
+    row = df.select(
+        F.transform(v.neighbour_word_cosine(F.col("s")), lambda x: F.round(x, 6)).alias("a"),
+        F.transform(v.neighbour_cosine(dense), lambda x: F.round(x, 6)).alias("b")).first()
+    assert row["a"] == row["b"] and row["a"][0] is None and row["a"][2] is None and row["a"][5] == 1.0
