@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from docpipe.functions.columns import let, struct_of
 
 DEFAULT_LIMIT = 2048
+RUN = 256
 
 # Zero-width places where a level may cut, coarsest first. A run of # stays with the text after it,
 # every other separator with the text before it.
@@ -59,7 +60,11 @@ def recursive_chunks(
 
 
 def with_offsets(chunks: Column) -> Column:
-    """Contiguous chunk texts -> array of (text, start_index, end_index)."""
+    """Contiguous chunk texts -> array of (text, start_index, end_index).
+
+    Running lengths are folded within runs of chunks and once over the runs, because a fold that
+    appends copies what it has: one fold over a very long document would be quadratic.
+    """
     span = "array<struct<text:string,start_index:int,end_index:int>>"
 
     def add(state: Column, chunk: Column) -> Column:
@@ -70,8 +75,23 @@ def with_offsets(chunks: Column) -> Column:
                 struct_of(text=chunk, start_index=state["at"], end_index=stop))),
         )
 
-    start = struct_of(at=F.lit(0), spans=F.array().cast(span))
-    return F.aggregate(chunks, start, add, lambda state: state["spans"])
+    def place(run: Column, at: Column) -> Column:
+        start = struct_of(at=at, spans=F.array().cast(span))
+        return F.aggregate(run, start, add, lambda state: state["spans"])
+
+    def place_runs(runs: Column) -> Column:
+        lengths = F.transform(runs, lambda run: F.aggregate(
+            run, F.lit(0), lambda total, chunk: total + F.char_length(chunk)))
+        starts = F.aggregate(lengths, F.array(F.lit(0)), lambda starts, length: F.concat(
+            starts, F.array(F.element_at(starts, -1) + length)))
+        return F.flatten(F.zip_with(runs, F.slice(starts, F.lit(1), F.size(runs)), place))
+
+    def cut(chunks: Column) -> Column:
+        first = F.sequence(F.lit(1), F.greatest(F.size(chunks), F.lit(1)), F.lit(RUN))
+        runs = F.transform(first, lambda i: F.slice(chunks, i, F.lit(RUN)))
+        return let(runs, place_runs)
+
+    return let(chunks, cut)
 
 
 def tokens(text: Column) -> Column:

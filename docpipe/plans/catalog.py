@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpipe.functions import urls
 from docpipe.functions import vectors as v
 from docpipe.operators import chunking, embedding, links, pages, retrieval
 from docpipe.plans import jobs
@@ -110,12 +111,12 @@ def page_links(spark, sf):
     return links.extract_links(_pages(spark, sf), prune_first=False)
 
 
-def _resolved(spark, sf):
-    return links.resolve_links(page_links(spark, sf))
+def _resolved(stored):
+    return links.resolve_links(links.extract_links(stored, prune_first=False))
 
 
 def links_resolved(spark, sf):
-    return _resolved(spark, sf).select("page_id", "href", "target")
+    return _resolved(_pages(spark, sf)).select("page_id", "href", "target")
 
 
 def links_in_scope(spark, sf):
@@ -123,19 +124,19 @@ def links_in_scope(spark, sf):
     sites = pages.output_paths(_pages(spark, sf)).groupBy("host").count()
     largest = sites.orderBy(F.desc("count"), "host").first()["host"]
     return links.in_scope(
-        _resolved(spark, sf), f"https://{largest}/", SCOPE_FILTER).select("page_id", "target")
+        _resolved(_pages(spark, sf)), f"https://{largest}/", SCOPE_FILTER).select("page_id", "target")
 
 
 def links_unvisited(spark, sf):
     """Targets first seen on pages without a query part, given those of the others as visited."""
-    found = _resolved(spark, sf)
+    stored = _pages(spark, sf)
     with_query = F.contains("url", F.lit("?"))
-    visited = found.filter(with_query).select(F.col("target").alias("url"))
-    return links.unvisited(found.filter(~with_query), visited)
+    visited = _resolved(stored.filter(with_query)).select(F.col("target").alias("url"))
+    return links.unvisited(_resolved(stored.filter(~with_query)), visited)
 
 
 def links_dangling(spark, sf):
-    return links.dangling(_resolved(spark, sf), _pages(spark, sf))
+    return links.dangling(_resolved(_pages(spark, sf)), _pages(spark, sf))
 
 
 def _site(spark, sf):
@@ -161,6 +162,29 @@ def crawl_reach(spark, sf):
     return links.crawl(edges, home.select(F.col("target").alias("url")), CRAWL_FILTER)
 
 
+def site_crawl(spark, sf):
+    """Crawl and conversion in one job, over the stored pages moved to one site: the content of page
+    n gets links to pages 2n+1 and 2n+2 as far as they exist."""
+    stored = _pages(spark, sf)
+    paths = stored.select("page_id", F.concat(
+        F.lit("/"), urls.output_path(F.col("url")), F.lit("?page="), "page_id").alias("path"))
+    site = stored.drop("url").join(paths, "page_id")
+    anchors = []
+    for offset in (1, 2):
+        child = paths.select(
+            ((F.col("page_id") - offset) / 2).alias("at"), F.col("path").alias(f"child{offset}")
+        ).filter(F.col("at") == F.floor("at")).select(
+            F.col("at").cast("long").alias("page_id"), f"child{offset}")
+        site = site.join(child, "page_id", "left")
+        anchors.append(F.coalesce(F.concat(
+            F.lit('<a href="'), f"child{offset}", F.lit(f'">{offset}</a>')), F.lit("")))
+    html = F.replace("html", F.lit("<article>"), F.concat(F.lit("<article>"), *anchors))
+    origin = "https://docs.example.org"
+    site = site.select("page_id", F.concat(F.lit(origin), "path").alias("url"), html.alias("html"))
+    first = site.filter("page_id = 0").select("url").first()["url"]
+    return jobs.site_to_markdown(site, first, CRAWL_FILTER)
+
+
 # Chunks
 
 def chunk_recursive(spark, sf):
@@ -288,7 +312,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         store_roundtrip, store_count, page_sink_latest, chunk_counts, corpus_totals,
         page_content, page_prune, page_markdown, page_output_path, page_prune_stats,
-        page_links, links_resolved, links_in_scope, links_unvisited, links_dangling, crawl_reach,
+        page_links, links_resolved, links_in_scope, links_unvisited, links_dangling, crawl_reach, site_crawl,
         chunk_recursive, chunk_offsets, chunk_tokens, chunk_semantic, sentences, chunk_ids,
         chunk_token_stats, embed_hashed, embed_model, embed_valid_only, embed_failures,
         knn_top_k, knn_batch, knn_report, site_to_markdown, index_build, retrieve,

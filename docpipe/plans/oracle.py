@@ -111,7 +111,7 @@ MARKDOWN = rf"""tok AS (
     SELECT page_id, unnest(toks) AS tok, unnest(range(0, len(toks))) AS i
     FROM (SELECT page_id, regexp_extract_all({ARTICLE}, '<[a-zA-Z/][^>]*>|[^<]+') AS toks FROM pages)),
 level AS (
-    SELECT *, lead(tok) OVER w = '<b>' AS bold,
+    SELECT *, lead(tok) OVER w = '<b>' AS bold, lag(tok, 2) OVER w AS opened,
            sum(CASE tok WHEN '<p>' THEN 1 WHEN '</p>' THEN -1 ELSE 0 END) OVER w
              + CASE WHEN tok = '</p>' THEN 1 ELSE 0 END AS lvl
     FROM tok WINDOW w AS (PARTITION BY page_id ORDER BY i)),
@@ -125,6 +125,8 @@ body AS (
         WHEN tok IN ('</h1>', '<p>') THEN chr(1)
         WHEN tok = '<b>' THEN '**'
         WHEN tok = '<br>' THEN chr(3) || chr(3) || chr(2)
+        WHEN starts_with(tok, '<a ') THEN '['
+        WHEN tok = '</a>' THEN '](' || regexp_extract(opened, 'href="([^"]*)"', 1) || ')'
         WHEN tok = '</p>' THEN CASE WHEN was_bold THEN '**' ELSE '' END || chr(1)
         ELSE regexp_replace({_decoded("tok")}, '[ \t\r\n\f]+', ' ', 'g') END, '' ORDER BY i) AS md
     FROM matched GROUP BY page_id),
@@ -151,6 +153,27 @@ latest AS (
     SELECT * FROM paths QUALIFY row_number() OVER (
         PARTITION BY host, output_path ORDER BY page_id DESC, url DESC) = 1)"""
 
+SITE = rf"""{PATHS},
+nodes AS (SELECT page_id, '/' || output_path || '?page=' || page_id AS path FROM paths),
+site AS (
+    SELECT p.page_id, 'https://docs.example.org' || n.path AS url,
+           replace(html, '<article>', '<article>'
+             || coalesce('<a href="' || a.path || '">1</a>', '')
+             || coalesce('<a href="' || b.path || '">2</a>', '')) AS html
+    FROM pages AS p JOIN nodes AS n USING (page_id)
+    LEFT JOIN nodes AS a ON a.page_id = 2 * p.page_id + 1
+    LEFT JOIN nodes AS b ON b.page_id = 2 * p.page_id + 2),
+reach AS (
+    SELECT page_id FROM nodes WHERE page_id = 0
+    UNION ALL
+    SELECT n.page_id FROM reach AS r
+    JOIN nodes AS n ON n.page_id > 0 AND (n.page_id - 1) // 2 = r.page_id
+    WHERE contains('https://docs.example.org' || n.path, '{CRAWL_FILTER}')),
+newest AS (
+    SELECT max(page_id) AS page_id, output_path FROM reach JOIN paths USING (page_id)
+    GROUP BY output_path),
+{MARKDOWN.replace("FROM pages", "FROM site")}"""
+
 SENTENCES = f"""split AS (
     SELECT source_path, {_split("text", r"([.!?][ \t\r\n\f])", rf"'\1' || {MARK}")} AS parts FROM docs),
 sentence AS (
@@ -281,6 +304,10 @@ reach AS (
     JOIN nodes AS n ON n.page_id > 0 AND (n.page_id - 1) // 2 = r.page_id
     WHERE contains(n.url, '{CRAWL_FILTER}'))
 SELECT url, depth::INTEGER AS depth FROM reach""",
+    "site_crawl": f"""WITH RECURSIVE {SITE}
+SELECT page_id, site.url AS url, 'docs.example.org' AS host, output_path || '.md' AS output_path,
+       markdown
+FROM newest JOIN site USING (page_id) JOIN markdowns USING (page_id)""",
     "chunk_recursive": f"WITH {CHUNKS} SELECT source_path, chunk_index, text FROM chunks",
     "chunk_offsets": f"""WITH {CHUNKS},
 spans AS (

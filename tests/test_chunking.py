@@ -213,3 +213,13 @@ def test_word_likeness_is_the_cosine_of_the_hashed_vectors(spark):
         F.transform(v.neighbour_word_cosine(F.col("s")), lambda x: F.round(x, 6)).alias("a"),
         F.transform(v.neighbour_cosine(dense), lambda x: F.round(x, 6)).alias("b")).first()
     assert row["a"] == row["b"] and row["a"][0] is None and row["a"][2] is None and row["a"][5] == 1.0
+
+
+def test_offsets_of_many_chunks(spark):
+    """More chunks than one run of the offset fold, and runs that end exactly on a chunk."""
+    texts = ["word " * n for n in (511, 512, 513, 3000)]
+    got = _chunks(chunking.chunk_recursive(_docs(spark, texts), limit=10))
+    for i, text in enumerate(texts):
+        assert len(got[str(i)]) == (len(text) + 9) // 10
+        assert all(text[c["start_index"]:c["end_index"]] == c["text"] for c in got[str(i)])
+        assert got[str(i)][-1]["end_index"] == len(text)

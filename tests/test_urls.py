@@ -66,3 +66,18 @@ def test_authority_and_path_follow_the_standard_library(spark):
 def test_output_path(spark, url, want):
     df = spark.createDataFrame([(url,)], "u string")
     assert df.select(urls.output_path(F.col("u"))).first()[0] == want
+
+
+def test_random_relative_paths_agree_with_the_standard_library(spark):
+    import random
+
+    rng = random.Random(11)
+    parts = ["a", "b.html", ".", "..", "c;d=e", "x y", "...", ".h"]
+
+    def path():
+        text = "/".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+        return rng.choice(["", "/"]) + text + rng.choice(["", "/", "?q=../r", "#frag"])
+
+    pairs = [("https://h.org/" + path().lstrip("/"), path()) for _ in range(400)]
+    want = [urljoin(b, h).split("#")[0] for b, h in pairs]
+    assert list(zip(pairs, _resolve(spark, pairs))) == list(zip(pairs, want))
