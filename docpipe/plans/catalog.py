@@ -19,8 +19,13 @@ SCOPE_FILTER = "/t"
 CRAWL_FILTER = "/e"
 
 
+def _page_table(spark: SparkSession, sf: str) -> DataFrame:
+    return page_store.read_pages(spark, f"{sf}/pages.parquet")
+
+
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
-    return spread(page_store.read_pages(spark, f"{sf}/pages.parquet"), "page_id")
+    """The page table for jobs that parse it."""
+    return spread(_page_table(spark, sf), "page_id")
 
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
@@ -72,7 +77,7 @@ def store_count(spark, sf):
 
 def page_sink_latest(spark, sf):
     path = scratch_table(spark, "markdown")
-    page_store.write_markdown(pages.latest_per_path(pages.output_paths(_pages(spark, sf))), path)
+    page_store.write_markdown(pages.latest_per_path(pages.output_paths(_page_table(spark, sf))), path)
     return page_store.read_markdown_table(spark, path).select(
         "host", "output_path", "page_id", "url")
 
@@ -100,7 +105,7 @@ def page_markdown(spark, sf):
 
 
 def page_output_path(spark, sf):
-    return pages.output_paths(_pages(spark, sf))
+    return pages.output_paths(_page_table(spark, sf))
 
 
 def page_prune_stats(spark, sf):
@@ -121,7 +126,7 @@ def links_resolved(spark, sf):
 
 def links_in_scope(spark, sf):
     """Crawl scope of the site with the most pages."""
-    sites = pages.output_paths(_pages(spark, sf)).groupBy("host").count()
+    sites = pages.output_paths(_page_table(spark, sf)).groupBy("host").count()
     largest = sites.orderBy(F.desc("count"), "host").first()["host"]
     return links.in_scope(
         _resolved(_pages(spark, sf)), f"https://{largest}/", SCOPE_FILTER).select("page_id", "target")
@@ -136,13 +141,13 @@ def links_unvisited(spark, sf):
 
 
 def links_dangling(spark, sf):
-    return links.dangling(_resolved(_pages(spark, sf)), _pages(spark, sf))
+    return links.dangling(_resolved(_pages(spark, sf)), _page_table(spark, sf))
 
 
 def _site(spark, sf):
     """The stored pages as one site: page n links to pages 2n+1 and 2n+2, to the first page and to
     itself."""
-    stored = pages.output_paths(_pages(spark, sf))
+    stored = pages.output_paths(_page_table(spark, sf))
     nodes = stored.select("page_id", F.concat(
         F.lit("https://docs.example.org/"), "output_path", F.lit("?page="), "page_id").alias("url"))
     parent = F.floor((F.col("page_id") - 1) / 2)
