@@ -22,8 +22,10 @@ VOID = frozenset(
 # Attributes the page operators look at.
 ATTRIBUTES = ("class", "id", "role", "href", "title", "src", "alt")
 
+ABSENT = (None,) * len(ATTRIBUTES)
+
 FIELDS = [
-    ("kind", pa.string()), ("tag", pa.string()), ("stop", pa.int32()), ("text", pa.string()),
+    ("stop", pa.int32()), ("kind", pa.string()), ("tag", pa.string()), ("text", pa.string()),
     *((name, pa.string()) for name in ATTRIBUTES),
     ("nest", pa.int32()),       # lists around this token
     ("number", pa.int32()),     # li: place in its ordered list, 0 in an unordered one; cell: place in row
@@ -31,7 +33,7 @@ FIELDS = [
     ("verbatim", pa.bool_()),   # inside pre
 ]
 TOKEN_DDL = (
-    "array<struct<kind:string,tag:string,stop:int,text:string,"
+    "array<struct<stop:int,kind:string,tag:string,text:string,"
     + ",".join(f"{name}:string" for name in ATTRIBUTES)
     + ",nest:int,number:int,cells:int,verbatim:boolean>>"
 )
@@ -43,25 +45,20 @@ class _Outline(HTMLParser):
     """Nesting as written: an end tag closes up to the nearest open element of that name, a stray
     end tag is ignored, and elements still open at the end close there."""
 
-    def __init__(self, columns: dict[str, list]):
+    def __init__(self, rows: list[tuple], stops: list[int]):
         super().__init__(convert_charrefs=True)
-        self.columns = columns
-        self.first = len(columns["kind"])
-        self.stack: list[tuple[int, str, dict]] = []
+        self.tokens, self.stops = rows, stops   # shared by the pages of a batch
+        self.first = len(stops)
+        self.stack: list[tuple[int, str, tuple]] = []
         self.names: Counter[str] = Counter()
         self.lists: list[list] = []
-        self.rows: list[list[int]] = []     # per open table: rows closed, cells in this row
-
-    def add(self, kind, tag=None, text=None, attrs=None, number=0, cells=0) -> int:
-        at = len(self.columns["kind"])
-        values = {
-            "kind": kind, "tag": tag, "stop": at - self.first + 1, "text": text,
-            "nest": len(self.lists), "number": number, "cells": cells,
-            "verbatim": self.names["pre"] > 0, **{name: None for name in ATTRIBUTES},
-            **(attrs or {}),
-        }
-        for name, value in values.items():
-            self.columns[name].append(value)
+        self.tables: list[list[int]] = []       # per open table: rows closed, cells in this row
+
+    def add(self, kind, tag=None, text=None, attrs=ABSENT, number=0, cells=0) -> int:
+        at = len(self.stops)
+        self.tokens.append((kind, tag, text, *attrs, len(self.lists), number, cells,
+                            self.names["pre"] > 0))
+        self.stops.append(at - self.first + 1)
         return at
 
     def handle_starttag(self, tag, attrs):
@@ -72,11 +69,14 @@ class _Outline(HTMLParser):
             self.lists[-1][1] += 1
             number = self.lists[-1][1]
         elif tag == "table":
-            self.rows.append([0, 0])
-        elif tag in ("td", "th") and self.rows:
-            self.rows[-1][1] += 1
-            number = self.rows[-1][1]
-        kept = {name: value or "" for name, value in attrs if name in ATTRIBUTES}
+            self.tables.append([0, 0])
+        elif tag in ("td", "th") and self.tables:
+            self.tables[-1][1] += 1
+            number = self.tables[-1][1]
+        kept = ABSENT
+        if attrs:
+            found = dict(attrs)
+            kept = tuple((found[n] or "") if n in found else None for n in ATTRIBUTES)
         at = self.add(OPEN, tag, attrs=kept, number=number)
         if tag not in VOID:
             self.stack.append((at, tag, kept))
@@ -99,17 +99,17 @@ class _Outline(HTMLParser):
         at, tag, attrs = self.stack.pop()
         self.names[tag] -= 1
         cells = 0
-        if tag in ("tr", "table") and self.rows:
-            row = self.rows[-1]
+        if tag in ("tr", "table") and self.tables:
+            row = self.tables[-1]
             if tag == "table":
-                self.rows.pop()
+                self.tables.pop()
             else:
                 cells = row[1] if row[0] == 0 else 0
                 row[:] = [row[0] + 1, 0]
         closing = self.add(CLOSE, tag, attrs=attrs, cells=cells)
         if tag in ("ul", "ol") and self.lists:
             self.lists.pop()
-        self.columns["stop"][at] = closing - self.first + 1
+        self.stops[at] = closing - self.first + 1
         return tag
 
     def finish(self):
@@ -119,32 +119,33 @@ class _Outline(HTMLParser):
 
 
 def _outline_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(batch: pa.RecordBatch, start: int, stop: int, columns, offsets):
+    def flush(batch: pa.RecordBatch, start: int, ends: list[int], rows, stops) -> pa.RecordBatch:
+        columns = [stops, *(zip(*rows) if rows else [()] * (len(FIELDS) - 1))]
         tokens = pa.ListArray.from_arrays(
-            pa.array(offsets, pa.int32()),
+            pa.array([0, *ends], pa.int32()),
             pa.StructArray.from_arrays(
-                [pa.array(columns[name], kind) for name, kind in FIELDS],
+                [pa.array(column, kind) for column, (_, kind) in zip(columns, FIELDS)],
                 fields=[pa.field(name, kind) for name, kind in FIELDS],
             ),
         )
-        kept = batch.slice(start, stop - start).drop_columns(["html"])
+        kept = batch.slice(start, len(ends)).drop_columns(["html"])
         return pa.RecordBatch.from_arrays(
             [*kept.columns, tokens], names=[*kept.schema.names, "tokens"])
 
     for batch in batches:
-        columns, offsets, start, size = {name: [] for name, _ in FIELDS}, [0], 0, 0
+        start, size, ends, rows, stops = 0, 0, [], [], []
         for i, html in enumerate(batch.column("html")):
-            parser = _Outline(columns)
             markup = html.as_py()
+            parser = _Outline(rows, stops)
             parser.feed(markup)
             parser.finish()
-            offsets.append(len(columns["kind"]))
+            ends.append(len(stops))
             size += len(markup)
             if size >= BATCH_CHARS:
-                yield flush(batch, start, i + 1, columns, offsets)
-                columns, offsets, start, size = {name: [] for name, _ in FIELDS}, [0], i + 1, 0
-        if len(offsets) > 1:
-            yield flush(batch, start, batch.num_rows, columns, offsets)
+                yield flush(batch, start, ends, rows, stops)
+                start, size, ends, rows, stops = i + 1, 0, [], [], []
+        if ends:
+            yield flush(batch, start, ends, rows, stops)
 
 
 def outline(pages: DataFrame) -> DataFrame:
