@@ -17,14 +17,15 @@ from docpipe.functions.columns import let, struct_of
 DEFAULT_LIMIT = 2048
 RUN = 256
 
-# Zero-width places where a level may cut, coarsest first. A run of # stays with the text after it,
-# every other separator with the text before it.
+# Zero-width places where a level may cut, coarsest first, each with a string that a text must hold to
+# have such a place (a search for it is far cheaper than the pattern). A run of # stays with the text
+# after it, every other separator with the text before it.
 MARKDOWN_LEVELS = (
-    r"(?<!#)(?=#)",          # heading marks
-    r"(?<=\n\n)(?!\n)",      # blank lines
-    r"(?<=\n)",              # lines
-    r"(?<=[.!?] )",          # sentences
-    r"(?<=[ \t\r\n\f])",     # words
+    ("#", r"(?<!#)(?=#)"),              # heading marks
+    ("\n\n", r"(?<=\n\n)(?!\n)"),       # blank lines
+    ("\n", r"(?<=\n)"),                 # lines
+    (" ", r"(?<=[.!?] )"),              # sentences
+    ("", r"(?<=[ \t\r\n\f])"),          # words
 )
 SENTENCE_END = r"(?<=[.!?][ \t\r\n\f])"
 TOKEN = r"\s*\S+\s*"
@@ -42,19 +43,18 @@ def merge_up_to(text: Column, boundary: str, limit: int) -> Column:
 
 
 def recursive_chunks(
-    text: Column, limit: int = DEFAULT_LIMIT, levels: Sequence[str] = MARKDOWN_LEVELS
+    text: Column, limit: int = DEFAULT_LIMIT, levels: Sequence[tuple[str, str]] = MARKDOWN_LEVELS
 ) -> Column:
     """Array of chunk texts: each level recuts only what is still over the limit."""
-    def recut(chunks: Column, cut) -> Column:
-        return F.flatten(F.transform(
-            chunks,
-            lambda chunk: F.when(F.char_length(chunk) > limit, cut(chunk)).otherwise(F.array(chunk)),
-        ))
+    def recut(chunks: Column, mark: str, cut) -> Column:
+        return F.flatten(F.transform(chunks, lambda chunk: F.when(
+            (F.char_length(chunk) > limit) & F.contains(chunk, F.lit(mark)), cut(chunk)
+        ).otherwise(F.array(chunk))))
 
     chunks = F.array(F.coalesce(text, F.lit("")))
-    for boundary in levels:
-        chunks = recut(chunks, lambda chunk, at=boundary: merge_up_to(chunk, at, limit))
-    chunks = recut(chunks, lambda chunk: F.regexp_extract_all(
+    for mark, boundary in levels:
+        chunks = recut(chunks, mark, lambda chunk, at=boundary: merge_up_to(chunk, at, limit))
+    chunks = recut(chunks, "", lambda chunk: F.regexp_extract_all(
         chunk, F.lit(rf"(?s).{{1,{limit}}}"), F.lit(0)))
     return F.filter(chunks, lambda chunk: chunk != "")
 

@@ -21,19 +21,28 @@ def word_buckets(text: Column, width: int = DEFAULT_WIDTH) -> Column:
 
 def hashed_vector(text: Column, width: int = DEFAULT_WIDTH) -> Column:
     """L2-normalised bucket counts as array<float>; null for text without words."""
-    def counts(buckets: Column) -> Column:
-        # The cheap membership test spares most buckets the copy that counting by removal makes.
-        return F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda b: F.when(
-            F.array_contains(buckets, b),
-            (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double"),
-        ).otherwise(F.lit(0.0)))
+    def counts(ordered: Column) -> Column:
+        """Dense counts from the runs of equal buckets in the sorted list."""
+        starts = F.filter(
+            F.transform(ordered, lambda bucket, i: F.when(
+                (i == 0) | (bucket != F.get(ordered, i - 1)), struct_of(bucket=bucket, at=i))),
+            lambda run: run.isNotNull())
+
+        def spread(runs: Column) -> Column:
+            found = F.map_from_entries(F.transform(runs, lambda run, i: struct_of(
+                bucket=run["bucket"],
+                n=F.coalesce(F.get(runs, i + 1)["at"], F.size(ordered)) - run["at"])))
+            return let(found, lambda n: F.transform(
+                F.sequence(F.lit(0), F.lit(width - 1)),
+                lambda bucket: F.coalesce(n[bucket], F.lit(0)).cast("double")))
+
+        return let(starts, spread)
 
     def normalised(values: Column) -> Column:
-        norm = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, v: total + v * v))
-        return let(norm, lambda n: F.transform(values, lambda v: (v / n).cast("float")))
+        return let(norm(values), lambda n: F.transform(values, lambda v: (v / n).cast("float")))
 
-    return let(word_buckets(text, width), lambda buckets: F.when(
-        F.size(buckets) > 0, let(counts(buckets), normalised)))
+    return let(F.sort_array(word_buckets(text, width)), lambda ordered: F.when(
+        F.size(ordered) > 0, let(counts(ordered), normalised)))
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -21,7 +21,7 @@ def _rows(docs: DataFrame, pieces: Column, text_col: str) -> DataFrame:
 def chunk_recursive(
     docs: DataFrame,
     limit: int = t.DEFAULT_LIMIT,
-    levels: Sequence[str] = t.MARKDOWN_LEVELS,
+    levels: Sequence[tuple[str, str]] = t.MARKDOWN_LEVELS,
     text_col: str = "text",
 ) -> DataFrame:
     """Markdown chunks with offsets; size is counted in characters."""
