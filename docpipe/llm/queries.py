@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from docpipe.llm import exact_dedup
+from docpipe.llm import exact_dedup, language, minhash, url_rules
 from docpipe.llm.tables import table
 
 
@@ -13,6 +14,47 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.mark(table(spark, sf, "documents"), "doc_id", "text")
 
 
+def _held_out(doc_id: str):
+    """A quarter of the documents, which no model learns from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+def language_model(docs: DataFrame) -> language.Model:
+    return language.fit(docs.where(~_held_out("doc_id")), "doc_id", "text", "lang")
+
+
+def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of every whole document, learned from labelled ones that are not held out."""
+    docs = table(spark, sf, "documents")
+    texts = docs.select("doc_id", _held_out("doc_id").alias("held_out"), "text")
+    return language.identify(texts, "text", language_model(docs), keep=["doc_id", "held_out"])
+
+
+def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return minhash.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
+
+
+LISTED = [
+    url_rules.Listed("allow", "org", "/"),
+    url_rules.Listed("block", "example.org", "/es/"),
+    url_rules.Listed("block", "example.org", "/en/1"),
+    url_rules.Listed("allow", "com", "/fr/"),
+    url_rules.Listed("block", "com", "/de/"),
+]
+
+
+def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on every page: listed rules, else rules mined from the labels of pages (a label's doc_id
+    is taken as the page's id; low quality or toxic is bad)."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    return url_rules.judge(table(spark, sf, "pages"), "page_id", "url", table(spark, sf, "labels"),
+                           "doc_id", bad, LISTED)
+
+
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_minhash": op5_minhash,
+    "op10_url_rules": op10_url_rules,
 }
