@@ -10,4 +10,38 @@ ORACLE = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op5_minhash": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), shingled AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) = 0 THEN []
+                     WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                     ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END
+            ) AS s
+            FROM worded
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingled GROUP BY doc_id
+        ), shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+            FROM shingled x JOIN shingled y ON x.s = y.s AND x.doc_id < y.doc_id
+            GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM shared
+            JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * c >= 75 * (p.n + q.n - c)
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM documents
+            UNION
+            SELECT r.doc_id, CASE WHEN l.a = r.other THEN l.b ELSE l.a END
+            FROM reach r JOIN links l ON l.a = r.other OR l.b = r.other
+        ), smallest AS (
+            SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM smallest LEFT JOIN sizes USING (doc_id)
+    """,
 }
