@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import exact_dedup, language, minhash, url_rules
+from docpipe.llm import bpe, exact_dedup, language, minhash, url_rules
 from docpipe.llm.tables import table
 
 
@@ -35,6 +36,22 @@ def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
+def tokenizer_path() -> str:
+    """Where the rank file of the multilingual byte-level vocabulary is."""
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Token ids of every whole document, and the bytes they decode to."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    encoded = bpe.encode(docs, "text", tokenizer_path(), keep=["doc_id"])
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    encoded = encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                             F.sha2(listed, 256).alias("ids_sha256"), "ids")
+    decoded = bpe.decode(encoded, "ids", tokenizer_path(), keep=["doc_id", "n_tokens", "ids_sha256"])
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 LISTED = [
     url_rules.Listed("allow", "org", "/"),
     url_rules.Listed("block", "example.org", "/es/"),
@@ -56,5 +73,6 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op7_bpe": op7_bpe,
     "op10_url_rules": op10_url_rules,
 }
