@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import bpe, exact_dedup, language, minhash, url_rules
+from docpipe.llm import bpe, exact_dedup, language, minhash, templates, url_rules
 from docpipe.llm.tables import table
 
 
@@ -52,6 +52,12 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents that hold a benchmark item, word for word or re-parameterised."""
+    return templates.matches(table(spark, sf, "documents"), "doc_id", "text",
+                             table(spark, sf, "benchmark"), "item_id", "text")
+
+
 LISTED = [
     url_rules.Listed("allow", "org", "/"),
     url_rules.Listed("block", "example.org", "/es/"),
@@ -74,5 +80,6 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
     "op7_bpe": op7_bpe,
+    "op8_decontaminate": op8_decontaminate,
     "op10_url_rules": op10_url_rules,
 }

@@ -7,6 +7,7 @@ word longer than that is taken whole).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -138,3 +139,21 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = 5) -> tupl
         own = words[bounds[row]:bounds[row + 1]]
         out[out_bounds[row]] = (own * factors[:len(own)]).sum(dtype=np.uint64) + _M(len(own))
     return mix(out), out_bounds
+
+
+_BLANK_AFTER_WORD = re.compile(r"(?<=\S)[ \n\t]")
+
+
+def cut_texts(texts: list[str], size: int = 1 << 20) -> tuple[list[str], np.ndarray]:
+    """Texts cut in front of the first blank after a word past every ``size`` characters, so that long
+    ones are worked on in bounded pieces; with the number of pieces of each text."""
+    pieces, counts = [], []
+    for text in texts:
+        start, before = 0, len(pieces)
+        while len(text) - start > size and (found := _BLANK_AFTER_WORD.search(text, start + size)):
+            pieces.append(text[start:found.start()])
+            start = found.start()
+        pieces.append(text[start:] if start else text)
+        counts.append(len(pieces) - before)
+    return pieces, np.array(counts, np.int64)
+
