@@ -1,6 +1,27 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 ORACLE = {
+    "op1_warc": """
+        WITH hashed AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY hex) AS first,
+                   -- Five hexadecimal digits are four digits of base 32.
+                   list_transform(range(0, 8), lambda i:
+                       ('0x' || substr(hex, CAST(i AS INTEGER) * 5 + 1, 5))::BIGINT) AS n
+            FROM hashed
+        )
+        SELECT page_id, payload_bytes,
+               array_to_string(list_transform(n, lambda v:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 15) & 31 AS INTEGER) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 10) & 31 AS INTEGER) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 5) & 31 AS INTEGER) + 1, 1) ||
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v & 31 AS INTEGER) + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM firsts
+    """,
     "op4_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import bpe, exact_dedup, language, minhash, templates, url_rules
+from docpipe.llm import bpe, exact_dedup, language, minhash, templates, url_rules, warc
 from docpipe.llm.tables import table
 
 
@@ -24,6 +24,13 @@ def language_model(docs: DataFrame) -> language.Model:
     return language.fit(docs.where(~_held_out("doc_id")), "doc_id", "text", "lang")
 
 
+def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Every page written to dictionary-compressed archives and read back."""
+    manifest = warc.write_archives(table(spark, sf, "pages"), "page_id", "url", "html", warc.scratch_folder(spark))
+    return warc.read_archives(manifest).select(
+        F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_language_id(spark: SparkSession, sf: str) -> DataFrame:
     """Language of every whole document, learned from labelled ones that are not held out."""
     docs = table(spark, sf, "documents")
@@ -76,6 +83,7 @@ def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
