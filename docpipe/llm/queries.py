@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import bpe, exact_dedup, language, minhash, templates, url_rules, warc
+from docpipe.llm import bpe, exact_dedup, language, minhash, templates, training_order, url_rules, warc
 from docpipe.llm.tables import table
+from docpipe.scratch import scratch_table
 
 
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -26,7 +27,8 @@ def language_model(docs: DataFrame) -> language.Model:
 
 def op1_warc(spark: SparkSession, sf: str) -> DataFrame:
     """Every page written to dictionary-compressed archives and read back."""
-    manifest = warc.write_archives(table(spark, sf, "pages"), "page_id", "url", "html", warc.scratch_folder(spark))
+    manifest = warc.write_archives(
+        table(spark, sf, "pages"), "page_id", "url", "html", scratch_table(spark, "warc"))
     return warc.read_archives(manifest).select(
         F.col("record_key").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -59,6 +61,15 @@ def op7_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op3_training_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Every token sequence of all documents, written in training order and read back."""
+    manifest = training_order.materialise(
+        table(spark, sf, "documents"), "doc_id", "text", tokenizer_path(), scratch_table(spark, "sequences"))
+    return training_order.read(manifest).select(
+        F.col("doc").alias("doc_id"), "window", "slot", F.col("count").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """The documents that hold a benchmark item, word for word or re-parameterised."""
     return templates.matches(table(spark, sf, "documents"), "doc_id", "text",
@@ -85,6 +96,7 @@ def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
+    "op3_training_order": op3_training_order,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
     "op7_bpe": op7_bpe,
