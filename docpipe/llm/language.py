@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docpipe.llm.tables import fresh
-from docpipe.llm.words import by_size
+from docpipe.llm.words import by_size, cut_texts, runs
 
 CHARS = 24_000
 ROWS = 400
@@ -151,13 +151,14 @@ def phrases(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.nda
     return out
 
 
-def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
+def _parse(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases of each text in each language, and its number of letters."""
     symbols, ends, letters = _symbols(texts)
+    total = np.zeros((len(texts), len(model.names)), np.int64)
+    if not len(symbols) or not model.names:
+        return total, letters
     starts = np.concatenate([[0], ends])[:-1]
     sizes = ends - starts
-    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-    if not model.names or not len(symbols):
-        return names, scores
     at = np.searchsorted(model.points, symbols)
     known = model.points[np.minimum(at, len(model.points) - 1)] == symbols
     classes = np.where(known, at + 1, 0).astype(np.int32)
@@ -165,10 +166,19 @@ def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
     owner = np.repeat(np.arange(len(texts)), blocks)
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
     first = starts[owner] + nth * BLOCK
-    found = phrases(model, classes, first, np.minimum(ends[owner] - first, BLOCK))
-    total = np.zeros((len(texts), len(model.names)), np.int64)
-    np.add.at(total, owner, found)
-    estimate = total * np.array(model.log_size)
+    np.add.at(total, owner, phrases(model, classes, first, np.minimum(ends[owner] - first, BLOCK)))
+    return total, letters
+
+
+def predict(model: Model, texts: list[str]) -> tuple[list[str], list[float]]:
+    names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+    if not texts or not model.names:
+        return names, scores
+    pieces, counts = cut_texts(texts)
+    parsed = [_parse(model, run) for run in runs(pieces)]
+    firsts = np.cumsum(counts) - counts
+    estimate = np.add.reduceat(np.concatenate([p[0] for p in parsed]), firsts) * np.array(model.log_size)
+    letters = np.add.reduceat(np.concatenate([p[1] for p in parsed]), firsts)
     best = estimate.argmin(axis=1)
     for i in np.flatnonzero(letters > 0).tolist():
         names[i] = model.names[best[i]]
@@ -233,3 +243,13 @@ def identify(df: DataFrame, text: str, model: Model, keep: list[str] | None = No
 
     return df.select(*[df[c] for c in kept], F.col(text).alias(input_text)).mapInArrow(run, schema)
 
+
+
+def keep_known(df: DataFrame, text: str, model: Model) -> DataFrame:
+    """The rows of ``df`` whose language is recognised, with all their columns. With no language learned,
+    those with a letter."""
+    if not model.names:
+        return df.where(F.col(text).rlike(r"\p{L}"))
+    lang_pred, score = fresh(df, "lang_pred", "score")
+    named = identify(df, text, model, lang_pred=lang_pred, score=score)
+    return named.where(F.col(lang_pred) != UNKNOWN).select(*[named[c] for c in df.columns])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.llm.tables import stored
-from docpipe.llm.words import by_size, cut_texts, mix
+from docpipe.llm.words import by_size, cut_texts, mix, runs
 
 WINDOW = 5
 LITERALS = 3
@@ -133,15 +133,7 @@ def _unit_hashes() -> np.ndarray:
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Literal hash and kind of every token of all texts, and the bounds of each text."""
     pieces, counts = cut_texts(texts, PIECE)
-    found = []
-    start = 0
-    while start < len(pieces):
-        stop, size = start, 0
-        while stop < len(pieces) and (stop == start or size + len(pieces[stop]) <= 2 * PIECE):
-            size += len(pieces[stop])
-            stop += 1
-        found.append(_piece_tokens(pieces[start:stop]))
-        start = stop
+    found = [_piece_tokens(run) for run in runs(pieces)]
     hashes = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64)
     kind = np.concatenate([f[1] for f in found]) if found else np.zeros(0, np.uint8)
     sizes = np.concatenate([np.diff(f[2]) for f in found]) if found else np.zeros(0, np.int64)

@@ -157,3 +157,14 @@ def cut_texts(texts: list[str], size: int = 1 << 20) -> tuple[list[str], np.ndar
         counts.append(len(pieces) - before)
     return pieces, np.array(counts, np.int64)
 
+
+def runs(pieces: list[str], size: int = 2 << 20) -> Iterator[list[str]]:
+    """Stretches of ``pieces`` with about ``size`` characters together; one piece at least."""
+    start = total = 0
+    for i, piece in enumerate(pieces):
+        if i > start and total + len(piece) > size:
+            yield pieces[start:i]
+            start, total = i, 0
+        total += len(piece)
+    if start < len(pieces):
+        yield pieces[start:]
