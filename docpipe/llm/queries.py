@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docpipe.llm import bpe, exact_dedup, language, minhash, templates, training_order, url_rules, warc
+from docpipe.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    minhash,
+    templates,
+    training_order,
+    transcripts,
+    url_rules,
+    warc,
+)
 from docpipe.llm.tables import table
 from docpipe.scratch import scratch_table
 
@@ -45,6 +55,32 @@ def op5_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), "doc_id", "text")
 
 
+#: How speakers are marked in the transcripts made of the conversations; the last style marks nobody.
+STYLES = (
+    {"user": "User: ", "assistant": "Assistant: ", "system": "System: "},
+    {"user": "### Human: ", "assistant": "### AI: ", "system": "### Instructions: "},
+    {"user": "Q: ", "assistant": "A: ", "system": "Context: "},
+    {},
+)
+
+
+def op6_chat_transcripts(spark: SparkSession, sf: str) -> DataFrame:
+    """Roles of all conversation turns, recovered from transcripts without their role column. The model
+    learns from conversations that are not held out."""
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    style = F.pmod(F.xxhash64(F.lit("style"), "conv_id"), F.lit(len(STYLES)))
+    mark = F.lit("")
+    for i, marks in enumerate(STYLES):
+        for role, text in marks.items():
+            mark = F.when((style == i) & (F.col("role") == role), F.lit(text)).otherwise(mark)
+    written = turns.withColumn("text", F.concat(mark, F.coalesce("text", F.lit(""))))
+    blocks = transcripts.ordered(written, "conv_id", "turn", "text", "role")
+    model = transcripts.fit(blocks.where(~_held_out("conv")))
+    return transcripts.parse(blocks, model).select(
+        F.col("conv").alias("conv_id"), F.col("ord").alias("turn"), _held_out("conv").alias("held_out"),
+        "role_pred", "begins_turn", "turns", "rendered")
+
+
 def tokenizer_path() -> str:
     """Where the rank file of the multilingual byte-level vocabulary is."""
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -99,6 +135,7 @@ QUERIES = {
     "op3_training_order": op3_training_order,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_minhash": op5_minhash,
+    "op6_chat_transcripts": op6_chat_transcripts,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
     "op10_url_rules": op10_url_rules,
