@@ -43,12 +43,12 @@ def _probe(key: Column, i: int) -> Column:
     return (first + step.bitwiseOR(1) * i).bitwiseAND(SEGMENT_BITS - 1).cast("int")
 
 
-def _probes(keys: np.ndarray) -> np.ndarray:
+def _probes(keys: np.ndarray, probes: int) -> np.ndarray:
     first, step = keys & 0xFFFFF, ((keys >> 20) & 0xFFFFF) | 1
-    return np.stack([(first + step * i) & (SEGMENT_BITS - 1) for i in range(PROBES)])
+    return np.stack([(first + step * i) & (SEGMENT_BITS - 1) for i in range(probes)])
 
 
-def _task_bits(segments: int):
+def _task_bits(segments: int, probes: int):
     """Per task: the bits its rows set, and those of keys it saw twice."""
 
     def flush(keys: np.ndarray) -> pa.RecordBatch:
@@ -59,7 +59,7 @@ def _task_bits(segments: int):
         cuts = np.flatnonzero(np.diff(segment, prepend=-1)) if len(segment) else []
         names, once, twice = [], [], []
         for start, stop in zip(cuts, [*cuts[1:], len(segment)], strict=True):
-            bits = _probes(distinct[start:stop]).astype(np.uint32)
+            bits = _probes(distinct[start:stop], probes).astype(np.uint32)
             names.append(int(segment[start]))
             again = np.unique(bits[:, seen[start:stop] > 1])
             values, hits = np.unique(bits, return_counts=True)
@@ -94,35 +94,45 @@ def _merge_bits(pieces: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"segment": [pieces["segment"].iloc[0]], "words": [words]})
 
 
-def repeated_bits(keys: DataFrame, rows: int, filter_bytes: int = FILTER_BYTES) -> DataFrame:
-    """Pass 1 over a one-column table of 64-bit keys: (segment, words of bits that are set twice)."""
+def repeated_bits(keys: DataFrame, rows: int, filter_bytes: int = FILTER_BYTES,
+                  probes: int = PROBES) -> tuple[DataFrame, int]:
+    """Pass 1 over a one-column table of about ``rows`` 64-bit keys: (segment, words of the bits that are
+    set twice), and the number of segments."""
     segments = max(1, min(math.ceil(rows * BITS_PER_ROW / SEGMENT_BITS),
                           filter_bytes * 8 // SEGMENT_BITS))
-    pieces = keys.mapInArrow(_task_bits(segments), "segment int, once binary, twice binary")
+    pieces = keys.mapInArrow(_task_bits(segments, probes), "segment int, once binary, twice binary")
     merged = pieces.groupBy("segment").applyInPandas(_merge_bits, "segment int, words array<bigint>")
-    return stored(merged, "bloom").withColumn("segments", F.lit(segments))
+    return stored(merged, "bloom"), segments
+
+
+def with_repeat_flag(df: DataFrame, key: str, bits: tuple[DataFrame, int], flag: str,
+                     probes: int = PROBES) -> DataFrame:
+    """Pass 2: ``df`` with whether another row may have the same key. Narrow: the bits are broadcast, at
+    most ``filter_bytes`` of them by the number of segments chosen in pass 1."""
+    seg, of_seg, words, _ = fresh(df, "segment", "segment_of", "words", flag)
+    known = bits[0].toDF(of_seg, words)
+    rows = df.withColumn(seg, _segment(F.col(key), bits[1]))
+    rows = rows.join(F.broadcast(known), F.col(seg) == F.col(of_seg), "left")
+    hit = F.lit(True)
+    for i in range(probes):
+        at = _probe(F.col(key), i)
+        hit = hit & (F.getbit(F.get(F.col(words), F.shiftright(at, 6)), at.bitwiseAND(63)) == 1)
+    return rows.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(seg, of_seg, words)
+
+
+def filter_rows(df: DataFrame, key: str, bits: tuple[DataFrame, int], probes: int = PROBES) -> DataFrame:
+    """The rows of ``df`` whose key another row may have."""
+    flag, = fresh(df, "possibly_repeated")
+    return with_repeat_flag(df, key, bits, flag, probes).where(F.col(flag)).drop(flag)
 
 
 def _flagged(df: DataFrame, text: str, filter_bytes: int) -> tuple[DataFrame, str, str]:
     """``df`` with the hash of its text and whether another row may have the same one."""
-    sha, maybe, key, seg, seg2, words, segs = fresh(
-        df, "text_sha256", "possibly_repeated", "key64", "segment", "segment_of", "words", "segments")
+    sha, maybe, key = fresh(df, "text_sha256", "possibly_repeated", "key64")
     hashed = df.withColumn(sha, F.sha2(whole_text(df, text), 256))
     hashed = hashed.withColumn(key, F.xxhash64(sha))
     bits = repeated_bits(hashed.select(key), df.count(), filter_bytes)
-    first = bits.select("segments").first()
-    count = first[0] if first else 1
-    bits = bits.toDF(seg2, words, segs)
-    rows = hashed.withColumn(seg, _segment(F.col(key), count))
-    # At most filter_bytes in all, by the number of segments chosen above.
-    rows = rows.join(F.broadcast(bits), F.col(seg) == F.col(seg2), "left")
-    hit = F.lit(True)
-    for i in range(PROBES):
-        at = _probe(F.col(key), i)
-        word = F.get(F.col(words), F.shiftright(at, 6))
-        hit = hit & (F.getbit(word, at.bitwiseAND(63)) == 1)
-    rows = rows.withColumn(maybe, F.coalesce(hit, F.lit(False)))
-    return rows.drop(key, seg, seg2, words, segs), sha, maybe
+    return with_repeat_flag(hashed, key, bits, maybe).drop(key), sha, maybe
 
 
 def _groups(candidates: DataFrame) -> DataFrame:

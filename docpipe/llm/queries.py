@@ -11,6 +11,7 @@ from docpipe.llm import (
     exact_dedup,
     language,
     minhash,
+    passages,
     templates,
     training_order,
     transcripts,
@@ -112,6 +113,11 @@ def op8_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
                              table(spark, sf, "benchmark"), "item_id", "text")
 
 
+def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Passages of 50 words or more that documents share, exactly or nearly."""
+    return passages.repeated_passages(table(spark, sf, "documents"), "doc_id", "text")
+
+
 LISTED = [
     url_rules.Listed("allow", "org", "/"),
     url_rules.Listed("block", "example.org", "/es/"),
@@ -138,5 +144,6 @@ QUERIES = {
     "op6_chat_transcripts": op6_chat_transcripts,
     "op7_bpe": op7_bpe,
     "op8_decontaminate": op8_decontaminate,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_url_rules": op10_url_rules,
 }
