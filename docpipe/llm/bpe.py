@@ -12,7 +12,7 @@ and leftmost pair of every piece at a time. ``encode`` keeps the byte offset of
 range of tokens can be cut from the text, and ``decode`` turns ids back into bytes.
 
 Memory: slices of ``SLICE_BYTES``, a cache that starts anew past ``CACHE_PIECES`` pieces or
-``CACHE_CHARS`` characters, and one row at a time for texts longer than a slice.
+``CACHE_LONG_BYTES`` of long ones (some 80 MB), and pieces of ``SLICE_BYTES`` of longer texts.
 
 Defined results: a null text is encoded as empty; an empty text has no ids. Null ids decode to empty
 bytes. An id outside the vocabulary is an error. Text that spells a special token is ordinary text.
@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.llm.tables import fresh
-from docpipe.llm.words import by_size
+from docpipe.llm.words import by_size, cut_texts, runs
 
 SLICE_BYTES = 2 << 20
-CACHE_PIECES = 400_000
-CACHE_CHARS = 20_000_000
+CACHE_BITS = 21
+CACHE_PIECES = 1_000_000
+CACHE_LONG_BYTES = 8_000_000
 LOCKSTEP_BYTES = 64
 SCAN_BLOCK = 256
 
@@ -89,25 +90,34 @@ def _scan_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return np.array([known[f] for f in base], np.uint16), product, functions, begins
 
 
+@lru_cache(1)
+def _shifted_products() -> np.ndarray:
+    """Products by (first << bits) + second, themselves shifted."""
+    _, product, _, _ = _scan_tables()
+    bits = product.shape[0].bit_length()
+    table = np.zeros((product.shape[0], 1 << bits), np.int32)
+    table[:, :product.shape[0]] = product.astype(np.int32) << bits
+    return table.ravel()
+
+
 def _prefix(functions: np.ndarray) -> np.ndarray:
-    """Inclusive prefix products."""
+    """Inclusive prefix products. Rows of the grid hold every block's j-th function; products are kept
+    shifted, so that the next look-up is one addition away."""
     _, product, _, _ = _scan_tables()
-    n, size = len(functions), product.shape[0]
-    flat = product.ravel()
-    if n <= SCAN_BLOCK:
-        out = functions.copy()
-        for i in range(1, n):
-            out[i] = flat[int(out[i - 1]) * size + int(out[i])]
-        return out
+    n, bits = len(functions), product.shape[0].bit_length()
+    flat = _shifted_products()
     blocks = -(-n // SCAN_BLOCK)
     grid = np.zeros(blocks * SCAN_BLOCK, np.int32)
     grid[:n] = functions
     grid = np.ascontiguousarray(grid.reshape(blocks, SCAN_BLOCK).T)
+    grid[0] <<= bits
     for j in range(1, SCAN_BLOCK):
-        grid[j] = flat[grid[j - 1] * size + grid[j]]
-    before = _prefix(grid[-1][:-1])
-    grid[:, 1:] = flat[before.astype(np.int32) * size + grid[:, 1:]]
-    return grid.T.ravel()[:n]
+        np.add(grid[j], grid[j - 1], out=grid[j])
+        grid[j] = flat.take(grid[j])
+    if blocks > 1:
+        before = _prefix(grid[-1][:-1] >> bits)
+        grid[:, 1:] = flat.take((before.astype(np.int32) << bits) + (grid[:, 1:] >> bits))
+    return (grid >> bits).T.ravel()[:n]
 
 
 @lru_cache(1)
@@ -126,17 +136,21 @@ def _classes() -> np.ndarray:
     return table
 
 
+#: What characters do by their class, context aside; an apostrophe is an ordinary sign.
+_PLAIN = np.array([O, L, N, ALONE, JOIN, O], np.uint8)
+
+
 def boundaries(points: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where pieces begin in code points of joined texts; ``first`` marks each text's first one."""
     if not len(points):
         return np.zeros(0, np.int64)
-    kind = _classes()[points]
-    end = np.concatenate([first[1:], [True]])
+    kind = _classes().take(points)
+    end = np.empty(len(points), bool)
+    end[:-1], end[-1] = first[1:], True
     space = (kind == SPACE) | (kind == BLANK)
-    run = space & (end | np.concatenate([space[1:], [True]]))
-    symbol = np.choose(np.minimum(kind, SPACE), np.array([O, L, N, ALONE], np.uint8))
-    symbol[kind == APOSTROPHE] = O
-    symbol[kind == BLANK] = JOIN
+    run = space & end
+    run[:-1] |= space[:-1] & space[1:]
+    symbol = _PLAIN.take(kind)
     symbol[run] = RUN
     quotes = np.flatnonzero((kind == APOSTROPHE) & ~end)
     if len(quotes):
@@ -146,10 +160,67 @@ def boundaries(points: np.ndarray, first: np.ndarray) -> np.ndarray:
         pair = points[wide + 1].astype(np.int64) << 32 | points[wide + 2]
         symbol[wide[np.isin(pair, [ord(a) << 32 | ord(b) for a, b in ("re", "ve", "ll")])]] = SUFFIX2
     of_symbol, _, states, begins = _scan_tables()
-    done = _prefix(of_symbol[symbol + first * np.uint8(SYMBOLS)])
-    before = np.concatenate([[FRESH], states[done[:-1], FRESH]])
+    done = _prefix(of_symbol.take(symbol + first * np.uint8(SYMBOLS)))
+    before = np.empty(len(points), np.uint8)
+    before[1:] = states[:, FRESH].take(done[:-1])
     before[first] = FRESH
-    return np.flatnonzero(begins[before, symbol])
+    return np.flatnonzero(begins.ravel().take(before * np.uint8(SYMBOLS) + symbol))
+
+
+class Table:
+    """Numbers by 128-bit keys, looked up many at a time (open addressing). The second half of a key is
+    never 0."""
+
+    def __init__(self, bits: int):
+        self.mask = (1 << bits) - 1
+        self.first = np.zeros(1 << bits, np.uint64)
+        self.second = np.zeros(1 << bits, np.uint64)
+        self.number = np.zeros(1 << bits, np.int32)
+
+    def _slots(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        h = (first ^ (second * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xD6E8FEB86659FD93)
+        return ((h ^ (h >> np.uint64(32))) & np.uint64(self.mask)).astype(np.int64)
+
+    def find(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """The number of each key, -1 for those not held."""
+        slots = self._slots(first, second)
+        held = self.second.take(slots)
+        hit = (held == second) & (self.first.take(slots) == first)
+        out = np.where(hit, self.number.take(slots), -1)
+        rest = np.flatnonzero(~hit & (held != 0))
+        while len(rest):
+            slots[rest] = at = (slots[rest] + 1) & self.mask
+            held = self.second[at]
+            hit = (held == second[rest]) & (self.first[at] == first[rest])
+            out[rest[hit]] = self.number[at[hit]]
+            rest = rest[~hit & (held != 0)]
+        return out
+
+    def add(self, first: np.ndarray, second: np.ndarray, numbers: np.ndarray) -> None:
+        """Distinct keys that are not held yet."""
+        slots, rest = self._slots(first, second), np.arange(len(first))
+        while len(rest):
+            at = slots[rest]
+            free = np.flatnonzero(self.second[at] == 0)
+            _, one = np.unique(at[free], return_index=True)
+            won = free[one]
+            self.first[at[won]], self.second[at[won]] = first[rest[won]], second[rest[won]]
+            self.number[at[won]] = numbers[rest[won]]
+            rest = np.delete(rest, won)
+            slots[rest] = (slots[rest] + 1) & self.mask
+
+
+#: Pieces of up to 15 bytes are their own key: eight bytes, then seven with the length on top.
+KEY_BYTES = 15
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def _keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of short pieces; ``data`` has 16 bytes to spare behind its last piece."""
+    eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    first = eight[starts] & _LOW_BYTES.take(np.minimum(sizes, 8))
+    second = eight[starts + 8] & _LOW_BYTES.take(np.maximum(sizes - 8, 0))
+    return first, second | sizes.astype(np.uint64) << np.uint64(56)
 
 
 class Vocabulary:
@@ -176,9 +247,9 @@ class Vocabulary:
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
         self.pairs = pairs
-        keys = np.array(sorted(pairs), np.int64)
-        self.pair_keys = keys
-        self.pair_ids = np.array([pairs[k] for k in keys.tolist()], np.int64)
+        keys = np.fromiter(pairs, np.uint64, len(pairs))
+        self.pair_table = Table(max(4, (4 * len(pairs)).bit_length()))
+        self.pair_table.add(keys, np.ones_like(keys), np.fromiter(pairs.values(), np.int32, len(pairs)))
         self._empty_cache()
 
     @classmethod
@@ -192,16 +263,17 @@ class Vocabulary:
         return Vocabulary, (self.ids,)
 
     def _empty_cache(self) -> None:
-        self.cache: dict[str, int] = {}
-        self.cached_chars = 0
+        self.short = Table(CACHE_BITS)
+        self.long: dict[bytes, int] = {}
+        self.long_bytes = 0
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
 
     def merge_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys = left << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == keys, self.pair_ids[at], self.size)
+        keys = (left << 32 | right).astype(np.uint64)
+        found = self.pair_table.find(keys, np.ones_like(keys))
+        return np.where(found >= 0, found, self.size)
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """One long piece: a heap of mergeable pairs over a linked list."""
@@ -268,30 +340,65 @@ class Vocabulary:
             ids, owner = ids[keep], owner[keep]
         return out
 
+    def _pieces(self, text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The cache number of every piece of ``text``; pieces not held yet are merged first."""
+        if len(self.count) > CACHE_PIECES or self.long_bytes > CACHE_LONG_BYTES:
+            self._empty_cache()
+        at = np.full(len(starts), -1, np.int64)
+        data = np.frombuffer(text + bytes(16), np.uint8)
+        short = np.flatnonzero(sizes <= KEY_BYTES)
+        first, second = _keys(data, starts[short], sizes[short])
+        at[short] = self.short.find(first, second)
+        long = np.flatnonzero(sizes > KEY_BYTES)
+        names = [text[a:a + n] for a, n in zip(starts[long].tolist(), sizes[long].tolist(), strict=True)]
+        at[long] = np.fromiter(map(self.long.get, names, repeat(-1)), np.int64, len(names))
+        missed = np.flatnonzero(at < 0)
+        if not len(missed):
+            return at
+        names = [text[a:a + n] for a, n in zip(starts[missed].tolist(), sizes[missed].tolist(), strict=True)]
+        number = {name: i for i, name in enumerate(dict.fromkeys(names), len(self.count))}
+        merged = self.merge(list(number))
+        counts = np.array([len(m) for m in merged], np.int64)
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(counts) - counts])
+        self.count = np.concatenate([self.count, counts])
+        self.pool = np.concatenate([self.pool, np.array([i for m in merged for i in m], np.int32)])
+        at[missed] = [number[name] for name in names]
+        new = [name for name in number if len(name) > KEY_BYTES]
+        self.long.update((name, number[name]) for name in new)
+        self.long_bytes += sum(map(len, new))
+        new = [name for name in number if len(name) <= KEY_BYTES]
+        if new:
+            lengths = np.array([len(name) for name in new], np.int64)
+            data = np.frombuffer(b"".join(new) + bytes(16), np.uint8)
+            self.short.add(*_keys(data, np.cumsum(lengths) - lengths, lengths),
+                           np.array([number[name] for name in new], np.int32))
+        return at
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the bounds of each text in them."""
+        """Ids of all texts in a row, and the bounds of each text in them. A piece always begins at a
+        blank behind a word, so long texts are cut there."""
+        pieces, counts = cut_texts(texts, SLICE_BYTES)
+        found = [self._encode(run) for run in runs(pieces, SLICE_BYTES)]
+        ids = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int32)
+        sizes = np.concatenate([np.diff(f[1]) for f in found]) if found else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        return ids, ends[np.concatenate([[0], np.cumsum(counts)])]
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         joined = "".join(texts)
         points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
         bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         first = np.zeros(len(points), bool)
         first[bounds[:-1][bounds[:-1] < len(points)]] = True
         starts = boundaries(points, first)
-        ends = np.append(starts[1:], len(points))
-        pieces = [joined[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-        if len(self.cache) > CACHE_PIECES or self.cached_chars > CACHE_CHARS:
-            self._empty_cache()
-        at = np.fromiter(map(self.cache.get, pieces, repeat(-1)), np.int64, len(pieces))
-        missed = np.flatnonzero(at < 0)
-        if len(missed):
-            new = list(dict.fromkeys([pieces[i] for i in missed.tolist()]))
-            merged = self.merge([p.encode() for p in new])
-            counts = np.array([len(m) for m in merged], np.int64)
-            self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(counts) - counts])
-            self.count = np.concatenate([self.count, counts])
-            self.pool = np.concatenate([self.pool, np.array([i for m in merged for i in m], np.int32)])
-            self.cache.update(zip(new, range(len(self.cache), len(self.cache) + len(new)), strict=True))
-            self.cached_chars += sum(map(len, new))
-            at[missed] = [self.cache[pieces[i]] for i in missed.tolist()]
+        wide = np.ones(len(points), np.uint8)
+        for least in (0x80, 0x800, 0x10000):
+            wide += points >= least
+        places = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(wide, out=places[1:])
+        cuts = places[np.append(starts, len(points))]
+        text = joined.encode()
+        at = self._pieces(text, cuts[:-1], np.diff(cuts))
         counts = self.count[at]
         ends_of = np.cumsum(counts)
         total = int(ends_of[-1]) if len(ends_of) else 0
