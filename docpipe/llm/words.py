@@ -130,7 +130,7 @@ def shingle_hashes(words: np.ndarray, bounds: np.ndarray, size: int = 5) -> tupl
     if not len(out):
         return out, out_bounds
     total = np.zeros(len(words), np.uint64)
-    for i in range(size):
+    for i in range(min(size, len(words))):
         total[:len(words) - i] += words[i:] * factors[i]
     owner = np.repeat(np.arange(rows), counts)
     start = bounds[:-1][owner] + np.arange(len(out)) - out_bounds[:-1][owner]
