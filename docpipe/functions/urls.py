@@ -52,7 +52,8 @@ def fold_dots(segments: Column) -> Column:
 
 def resolve(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` seen on page ``base``, fragment removed."""
-    ref = without_fragment(F.regexp_replace(F.trim(href), r"[\t\r\n]", ""))
+    stripped = F.regexp_replace(href, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    ref = without_fragment(F.regexp_replace(stripped, r"[\t\r\n]", ""))
     base_path = url_path(base)
     site = F.concat(F.regexp_extract(base, SCHEME, 0), F.lit("//"), authority(base))
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from docpipe.functions.columns import let, struct_of
 
 DEFAULT_WIDTH = 64
-DISTANCE_DIGITS = 9
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -91,8 +90,12 @@ def neighbour_word_cosine(texts: Column, width: int = DEFAULT_WIDTH) -> Column:
 
 
 def squared_l2(a: Column, b: Column) -> Column:
-    """Squared Euclidean distance in double, rounded so that equal distances tie exactly."""
+    """Squared Euclidean distance in double, summed in order, so that equal vectors tie exactly."""
     squares = F.zip_with(
         a, b, lambda x, y: F.pow(x.cast("double") - y.cast("double"), F.lit(2.0)))
-    total = F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
-    return F.round(total, DISTANCE_DIGITS)
+    return F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
+
+
+def finite(vector: Column) -> Column:
+    """Whether every element is there and a finite number."""
+    return ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

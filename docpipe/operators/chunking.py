@@ -84,8 +84,18 @@ def with_chunk_id(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("id", F.concat_ws("_", "source_path", "chunk_index"))
 
 
-def chunk_counts(chunks: DataFrame) -> DataFrame:
-    return chunks.groupBy("source_path").agg(F.count("*").alias("n_chunks"))
+def _with_chunkless(counted: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """Adds a row with 0 chunks for each document that has none."""
+    if docs is None:
+        return counted
+    names = docs.select("source_path").distinct().join(counted, "source_path", "left")
+    return names.withColumn("n_chunks", F.coalesce("n_chunks", F.lit(0).cast("long")))
+
+
+def chunk_counts(chunks: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Chunks per document; given ``docs``, also of those without any."""
+    counted = chunks.groupBy("source_path").agg(F.count("*").alias("n_chunks"))
+    return _with_chunkless(counted, docs)
 
 
 def corpus_totals(docs: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -96,12 +106,14 @@ def corpus_totals(docs: DataFrame, chunks: DataFrame) -> DataFrame:
         F.sum("n").alias("n_documents"), F.sum("m").alias("n_chunks"))
 
 
-def token_report(chunks: DataFrame) -> DataFrame:
-    """Chunk count and token minimum, mean and maximum per document."""
+def token_report(chunks: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Chunk count and token minimum, mean and maximum per document; given ``docs``, also of those
+    without chunks, with null tokens."""
     counted = chunks.withColumn("tokens", t.token_count(F.col("text")))
-    return counted.groupBy("source_path").agg(
+    report = counted.groupBy("source_path").agg(
         F.count("*").alias("n_chunks"),
         F.min("tokens").alias("min_tokens"),
         F.round(F.avg("tokens"), 6).alias("avg_tokens"),
         F.max("tokens").alias("max_tokens"),
     )
+    return _with_chunkless(report, docs)

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from docpipe.functions import urls
 from docpipe.functions.columns import with_once
-from docpipe.operators.pages import page_tokens, parse_pages
-from docpipe.scratch import cut_lineage_in_place
-from docpipe.session import plan_bytes
+from docpipe.operators.pages import fetched, page_tokens, parse_pages
+from docpipe.scratch import written
 
 # Finished levels are merged into one table whenever this many have piled up.
 LEVELS_KEPT_APART = 8
-EDGE_BYTES = 64 << 20
+# A frontier of up to this many URLs is sent to the scan of the edges.
+SENT_URLS = 100_000
 
 
 def page_hrefs(parsed: DataFrame, prune_first: bool = True) -> Column:
@@ -59,10 +59,11 @@ def unvisited(links: DataFrame, visited: DataFrame) -> DataFrame:
 
 
 def dangling(links: DataFrame, pages: DataFrame) -> DataFrame:
-    """Targets that no stored page answers, with the number of links to each."""
+    """Targets that no stored page answers, with the number of links to each. A page that could not be
+    fetched answers nothing."""
     targets = links.groupBy(F.col("target").alias("url")).agg(F.count("*").alias("n_links"))
     # A page's own fragment is not part of its identity.
-    known = pages.select(urls.without_fragment(F.col("url")).alias("url")).distinct()
+    known = fetched(pages).select(urls.without_fragment(F.col("url")).alias("url")).distinct()
     return targets.join(known, "url", "left_anti")
 
 
@@ -70,14 +71,6 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def _parts(links: DataFrame) -> int:
-    """Partitions for the edges: at least one per core, then by size, at most the session's own."""
-    spark = links.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    by_size = plan_bytes(links) // EDGE_BYTES
-    return max(1, min(most, max(spark.sparkContext.defaultParallelism, by_size)))
-
-
 def crawl(
     links: DataFrame,
     seeds: DataFrame,
@@ -86,29 +79,29 @@ def crawl(
 ) -> DataFrame:
     """Breadth-first reach over ``links(url, target)`` from ``seeds(url)``: (url, depth).
 
-    A target counts when it has its seed's host and contains ``path_filter``; seeds are exempt. The
-    edges are scoped, reduced to distinct pairs, placed and sorted by source and written once; so
-    they stay where they are, and a level moves only URLs seen so far. Every level is checkpointed, which keeps the plan flat and lets the
-    job outlive lost executors. The loop ends at the first empty level.
+    A target counts when it has its seed's host and contains ``path_filter``; seeds are exempt. A
+    page's own fragment is not part of its identity. The edges are scoped, reduced to distinct pairs
+    and written once, sorted by source; a level reads them without moving them while its frontier is
+    small enough to be sent, and shuffles the new targets alone. Every level is written, which keeps
+    the plan flat and lets the job outlive lost executors. The loop ends at the first empty level.
     """
-    parts = _parts(links)
-    url, target = F.col("url"), F.col("target")
-    edges = links.select("url", "target").filter(
-        (urls.authority(url) == urls.authority(target)) & F.contains(target, F.lit(path_filter)))
-    # Placing by source first makes the distinct pairs a matter of each partition: one shuffle.
-    placed = edges.repartition(parts, "url").distinct().sortWithinPartitions("url")
-    edges = cut_lineage_in_place(placed, parts)
-    frontier = cut_lineage_in_place(
-        seeds.select("url").distinct().withColumn("depth", F.lit(0)), parts)
+    target = F.col("target")
+    edges = links.select(urls.without_fragment(F.col("url")).alias("url"), "target").filter(
+        (urls.authority(F.col("url")) == urls.authority(target)) & F.contains(target, F.lit(path_filter)))
+    edges = written(edges.distinct().sortWithinPartitions("url"), "edges")
+    start = seeds.select(urls.without_fragment(F.col("url")).alias("url")).distinct()
+    frontier = written(start.withColumn("depth", F.lit(0)), "level")
     levels, depth = [frontier], 0
     while max_depth is None or depth < max_depth:
         depth += 1
-        found = frontier.join(edges, "url").select(target.alias("url")).distinct()
+        few = frontier.count() <= SENT_URLS
+        found = edges.join(F.broadcast(frontier) if few else frontier, "url").select(
+            target.alias("url")).distinct()
         found = found.join(_union(levels).select("url"), "url", "left_anti")
-        frontier = cut_lineage_in_place(found.withColumn("depth", F.lit(depth)), parts)
+        frontier = written(found.withColumn("depth", F.lit(depth)), "level")
         if frontier.isEmpty():
             break
         levels.append(frontier)
         if len(levels) > LEVELS_KEPT_APART:
-            levels = [cut_lineage_in_place(_union(levels).repartition(parts, "url"), parts)]
+            levels = [written(_union(levels), "levels")]
     return _union(levels)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions import urls
 from docpipe.functions.columns import let, struct_of, with_once
 from docpipe.functions.markdown import SILENT, to_markdown
 from docpipe.functions.outline import outline
+from docpipe.scratch import written
+
+# Output paths that several pages claim are broadcast up to this many.
+FEW_PATHS = 200_000
 
 
 def _has_class(t: Column, name: str) -> Column:
@@ -166,12 +170,20 @@ def extract_markdown(pages: DataFrame) -> DataFrame:
 
 
 def latest_per_path(documents: DataFrame) -> DataFrame:
-    """The page fetched last wins its output path.
+    """The page fetched last wins its output path; of rows that repeat a page one stays.
 
-    The limit on the rank reaches the map side (WindowGroupLimit), so a path or host that holds a
-    large share of the rows is down to one row per task before anything is shuffled.
+    ``documents`` is written once with row numbers. Only ids, URLs and paths are then compared: paths
+    that several pages claim are folded on the map side, and the losing rows are left out of the
+    written table, whose texts stay where they are.
     """
-    newest = Window.partitionBy("host", "output_path").orderBy(
-        F.col("page_id").desc(), F.col("url").desc())
-    ranked = documents.withColumn("_place", F.row_number().over(newest))
-    return ranked.filter(F.col("_place") == 1).drop("_place")
+    rows = written(documents.withColumn("_row", F.monotonically_increasing_id()), "documents")
+    claimed = rows.groupBy("host", "output_path").agg(
+        F.max(F.struct("page_id", "url", "_row")).alias("last"), F.count(F.lit(1)).alias("n"))
+    claimed = written(claimed.filter("n > 1").select(
+        F.col("host").alias("_host"), F.col("output_path").alias("_path"),
+        F.col("last._row").alias("_last")), "claimed")
+    if claimed.limit(FEW_PATHS + 1).count() <= FEW_PATHS:
+        claimed = F.broadcast(claimed)
+    same = F.col("host").eqNullSafe(F.col("_host")) & F.col("output_path").eqNullSafe(F.col("_path"))
+    met = rows.join(claimed, same, "left")
+    return met.filter(F.col("_last").isNull() | (F.col("_last") == F.col("_row"))).select(*documents.columns)

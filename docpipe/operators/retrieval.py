@@ -1,7 +1,7 @@
 """Exact k-nearest search of a vector table, for one vector or a table of queries.
 
 No pair of (query, vector) ever becomes a row. Tasks read Arrow batches of vectors, compare each
-batch with a block of queries in one matrix product and keep the k best per query, so a task emits
+batch with a bounded block of queries in one matrix product and keep the k best per query, so a task emits
 at most k rows per query and the shuffle carries only those.
 """
 
@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docpipe.functions.vectors import DISTANCE_DIGITS, squared_l2
+from docpipe.functions.vectors import finite, squared_l2
+from docpipe.scratch import scratch_table
 
-# Query vectors sent to every task, at most: this many, and this many bytes as doubles.
-SENT_ROWS = 4096
+# Queries sent to every task at a time: this many at most, and this many bytes of what a task holds
+# for them, which is a vector and twice k kept rows each. A larger query table is taken in blocks.
+SENT_ROWS = 16384
 SENT_BYTES = 64 << 20
-# Beyond that the queries are cut into blocks of this many bytes, one of which a task holds at a
-# time. Every vector travels once per block, so blocks are as large as a task can well afford.
-BLOCK_BYTES = 256 << 20
+KEPT_ROW_BYTES = 128
 # Distances held at once in a task.
 TILE = 1 << 20
 
@@ -32,10 +32,15 @@ def nearest_to(
     vector_col: str = "vector",
 ) -> DataFrame:
     """The k rows nearest to one vector, ties by the first kept column. Native columns: every task
-    keeps its own k (TakeOrderedAndProject)."""
+    keeps its own k (TakeOrderedAndProject). A vector with a missing or non-finite element is an
+    error that names its row."""
+    if not np.isfinite(np.asarray(query, dtype=np.float64)).all():
+        raise ValueError("the query vector must be finite")
     target = F.array(*[F.lit(float(x)) for x in query])
-    measured = vectors.filter(F.col(vector_col).isNotNull()).select(
-        *keep, squared_l2(F.col(vector_col), target).alias("distance"))
+    vector = F.col(vector_col)
+    measured = F.when(finite(vector), squared_l2(vector, target)).otherwise(F.raise_error(
+        F.concat(F.lit("not a finite vector: "), F.coalesce(F.col(keep[0]).cast("string"), F.lit("null")))))
+    measured = vectors.filter(vector.isNotNull()).select(*keep, measured.alias("distance"))
     return measured.orderBy("distance", keep[0]).limit(k)
 
 
@@ -58,24 +63,23 @@ class _Block:
         squares = np.einsum("ij,ij->i", vectors, vectors)
         rough = squares[:, None] + self.squares[None, :] - 2.0 * (vectors @ self.matrix.T)
         # The matrix product rounds differently from the exact sum below, so candidates are taken
-        # with a margin wider than both that error and the rounding of the result.
+        # with a margin wider than that error, which grows with the data's own scale.
         scale = squares.max(initial=0.0) + self.squares.max(initial=0.0)
-        margin = 10.0 ** -DISTANCE_DIGITS + 1e-15 * vectors.shape[1] * scale
+        margin = 1e-15 * (vectors.shape[1] + 8) * scale
         bound = self.bound
         if np.isinf(bound).any() and len(vectors) >= self.k:
             bound = np.minimum(bound, np.partition(rough, self.k - 1, axis=0)[self.k - 1])
         rows, queries = np.nonzero(rough <= bound[None, :] + margin)
         if not len(rows):
             return
-        exact = np.empty(len(rows))
-        chunk = max(1, TILE // vectors.shape[1])
-        for at in range(0, len(rows), chunk):
-            part = slice(at, at + chunk)
-            gap = vectors[rows[part]] - self.matrix[queries[part]]
-            exact[part] = (gap * gap).sum(axis=1)
+        # Summed in the order of the elements, as the native expression does.
+        exact = np.zeros(len(rows))
+        for i in range(vectors.shape[1]):
+            gap = vectors[rows, i] - self.matrix[queries, i]
+            exact += gap * gap
         found = pa.Table.from_batches([kept]).take(pa.array(rows))
         found = found.append_column("_query", pa.array(queries.astype(np.int32)))
-        found = found.append_column("distance", pa.array(np.round(exact, DISTANCE_DIGITS)))
+        found = found.append_column("distance", pa.array(exact))
         self.pending.append(found)
         # Merging sorts everything kept so far, so it waits for as many candidates again - but not
         # before every query has a bound to sift candidates with.
@@ -107,13 +111,18 @@ class _Block:
             columns, names=["query_id", *self.names, "distance"]).cast(schema).to_batches()
 
 
-def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
-    """list<float> column -> float64 matrix; vectors of another width are an error."""
+def _matrix(column: pa.Array, width: int | None = None, ids: pa.Array | None = None) -> np.ndarray:
+    """list<float> column -> float64 matrix; vectors of another width, and elements that are missing
+    or not finite, are errors."""
     values = column.flatten().to_numpy(zero_copy_only=False)
     width = width or (len(values) // len(column) if len(column) else 0)
     if np.any(column.value_lengths().to_numpy(zero_copy_only=False) != width):
         raise ValueError(f"all vectors must have {width} values")
-    return values.reshape(len(column), width).astype(np.float64)
+    matrix = values.reshape(len(column), width).astype(np.float64)
+    bad = np.flatnonzero(~np.isfinite(matrix).all(axis=1))
+    if len(bad):
+        raise ValueError(f"not a finite vector: {ids[int(bad[0])].as_py() if ids is not None else 'a query'}")
+    return matrix
 
 
 def _hit_schema(vectors: DataFrame, queries: DataFrame, keep: Sequence[str]) -> T.StructType:
@@ -124,87 +133,40 @@ def _hit_schema(vectors: DataFrame, queries: DataFrame, keep: Sequence[str]) ->
     ])
 
 
-def _against_all(vectors: DataFrame, block: list, k: int, keep: Sequence[str], schema) -> DataFrame:
+def _against_all(vectors: DataFrame, block: pa.Table, k: int, keep: Sequence[str], schema) -> DataFrame:
     """Every vector task gets the whole (bounded) query block."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
     arrow = to_arrow_schema(schema)
-    ids = [row["query_id"] for row in block]
+    ids = block.column("query_id").to_pylist()
     shared = vectors.sparkSession.sparkContext.broadcast(
-        np.array([row["vector"] for row in block], dtype=np.float64))
+        _matrix(block.column("vector").combine_chunks(), ids=block.column("query_id")))
     names = list(keep)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = _Block(ids, shared.value, k, names)
         for batch in batches:
             if batch.num_rows:
-                best.add(_matrix(batch.column("vector"), shared.value.shape[1]), batch.select(names))
+                matrix = _matrix(batch.column("vector"), shared.value.shape[1], batch.column(names[0]))
+                best.add(matrix, batch.select(names))
         yield from best.result(arrow)
 
     return vectors.select(*keep, "vector").mapInArrow(scan, schema)
 
 
-def _block_join(
+def _in_blocks(
     vectors: DataFrame, queries: DataFrame, n_blocks: int, k: int, keep: Sequence[str], schema
 ) -> DataFrame:
-    """Query table too large to send around: a block-partitioned join. Queries fall into blocks of
-    bounded size, vectors into as many cells as give every shuffle task work, and each (block, cell)
-    meets once. Within a task the queries of a block sort first and the vectors stream past."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
-    names = list(keep)
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells = max(1, -(-parts // n_blocks))
-    left = queries.select(
-        F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int").alias("_block"),
-        F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("_cell"),
-        F.lit(0).alias("_side"), "query_id", F.col("vector").cast("array<double>").alias("vector"),
-        *[F.lit(None).cast(vectors.schema[n].dataType).alias(n) for n in names],
-    )
-    right = vectors.select(
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("_block"),
-        F.pmod(F.xxhash64(*names, "vector"), F.lit(cells)).cast("int").alias("_cell"),
-        F.lit(1).alias("_side"),
-        F.lit(None).cast(queries.schema["query_id"].dataType).alias("query_id"),
-        F.col("vector").cast("array<double>").alias("vector"), *names,
-    )
-    met = (
-        left.unionByName(right)
-        .repartition(parts, "_block", "_cell")
-        .sortWithinPartitions("_block", "_cell", "_side")
-    )
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, waiting, best = None, [], None
-        for batch in batches:
-            keys = np.stack([batch.column(c).to_numpy() for c in ("_block", "_cell", "_side")], 1)
-            turns = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-            for start, stop in zip([0, *turns], [*turns, len(keys)]):
-                if start == stop:
-                    continue
-                place, side = tuple(keys[start, :2]), keys[start, 2]
-                part = batch.slice(start, stop - start)
-                if place != here:
-                    if best is not None:
-                        yield from best.result(arrow)
-                    here, waiting, best = place, [], None
-                if side == 0:
-                    waiting.append(part)
-                    continue
-                if best is None:
-                    if not waiting:
-                        continue        # an empty query block
-                    block = pa.Table.from_batches(waiting).combine_chunks()
-                    best = _Block(
-                        block.column("query_id").to_pylist(),
-                        _matrix(block.column("vector").combine_chunks()), k, names)
-                    waiting = []
-                best.add(_matrix(part.column("vector"), best.matrix.shape[1]), part.select(names))
-        if best is not None:
-            yield from best.result(arrow)
-
-    return met.mapInArrow(scan, schema)
+    """Query table too large to send at once: block after block is held against all vectors, each in
+    one scan without a shuffle, and its k rows per query and task are written."""
+    spark = vectors.sparkSession
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    found = scratch_table(spark, "nearest")
+    for i in range(n_blocks):
+        own = queries.filter(block == i).toArrow()
+        if own.num_rows:
+            _against_all(vectors, own, k, keep, schema).write.mode("append").parquet(found)
+    return spark.read.schema(schema).parquet(found)
 
 
 def nearest(
@@ -215,22 +177,26 @@ def nearest(
     vector)``: query_id, rank from 1, kept columns, squared L2 ``distance``.
 
     Exact; equal distances rank by the first kept column. Null vectors, on either side, take no
-    part. Looks at the first ``SENT_ROWS`` + 1 queries at most to learn whether they fit;
-    ``max_block`` overrides both block limits, in rows.
+    part; one with a missing or non-finite element is an error. The queries are written once, so
+    that a model that makes them sees each of them once. ``max_block`` overrides the block size.
     """
     vectors = vectors.filter(F.col("vector").isNotNull())
-    queries = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
     schema = _hit_schema(vectors, queries, keep)
-    head = queries.limit((max_block or SENT_ROWS) + 1).collect()
+    path = scratch_table(vectors.sparkSession, "queries")
+    asked = queries.select("query_id", "vector").filter(F.col("vector").isNotNull())
+    asked.write.parquet(path)
+    queries = vectors.sparkSession.read.schema(asked.schema).parquet(path)
+    head = queries.select(F.size("vector").alias("width")).limit(1).collect()
     if not head:
         partial = vectors.sparkSession.createDataFrame([], schema)
     else:
-        row_bytes = 8 * max(1, len(head[0]["vector"]))
-        if len(head) <= (max_block or min(SENT_ROWS, SENT_BYTES // row_bytes)):
-            partial = _against_all(vectors, head, k, keep, schema)
+        held = 8 * max(1, head[0]["width"]) + 2 * k * KEPT_ROW_BYTES
+        size = max_block or max(1, min(SENT_ROWS, SENT_BYTES // held))
+        count = queries.count()
+        if count <= size:
+            partial = _against_all(vectors, queries.toArrow(), k, keep, schema)
         else:
-            n_blocks = -(-queries.count() // (max_block or max(1, BLOCK_BYTES // row_bytes)))
-            partial = _block_join(vectors, queries, n_blocks, k, keep, schema)
+            partial = _in_blocks(vectors, queries, -(-count // size), k, keep, schema)
     order = Window.partitionBy("query_id").orderBy("distance", keep[0])
     return (
         partial.withColumn("rank", F.row_number().over(order))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docpipe.functions import urls
@@ -75,15 +75,26 @@ def store_count(spark, sf):
     return vector_store.open_table(spark, path).agg(F.count("*").alias("n_rows"))
 
 
+def store_rebuild(spark, sf):
+    """Two rebuilds on one path leave the rows of the second."""
+    path = scratch_table(spark, "vectors")
+    rows = _vectors(spark, sf)
+    vector_store.replace_rows(rows, path)
+    vector_store.replace_rows(rows.filter("source_path <> 'label_0'"), path)
+    n = vector_store.count_rows(spark, path)
+    return vector_store.open_table(spark, path).groupBy("source_path").agg(
+        F.count("*").alias("n_rows"), F.max(F.size("vector")).alias("width"),
+        F.lit(n).cast("long").alias("n_all"))
+
+
 def page_sink_latest(spark, sf):
     path = scratch_table(spark, "markdown")
-    page_store.write_markdown(pages.latest_per_path(pages.output_paths(_page_table(spark, sf))), path)
-    return page_store.read_markdown_table(spark, path).select(
-        "host", "output_path", "page_id", "url")
+    return jobs.store_site(_pages(spark, sf), path).select(
+        "host", "output_path", "page_id", "url", "markdown")
 
 
 def chunk_counts(spark, sf):
-    return chunking.chunk_counts(_chunks(spark, sf))
+    return chunking.chunk_counts(_chunks(spark, sf), _documents(spark, sf))
 
 
 def corpus_totals(spark, sf):
@@ -141,7 +152,15 @@ def links_unvisited(spark, sf):
 
 
 def links_dangling(spark, sf):
-    return links.dangling(_resolved(_pages(spark, sf)), _page_table(spark, sf))
+    """Links that nothing answers, where pages with a query part could not be fetched."""
+    stored = _pages(spark, sf)
+    failed = stored.withColumn("html", F.when(~F.contains("url", F.lit("?")), F.col("html")))
+    return links.dangling(_resolved(stored), failed)
+
+
+def _fragment():
+    """A page's own fragment, which stays with its stored URL."""
+    return F.regexp_extract("url", "#.*$", 0)
 
 
 def _site(spark, sf):
@@ -149,16 +168,17 @@ def _site(spark, sf):
     itself."""
     stored = pages.output_paths(_page_table(spark, sf))
     nodes = stored.select("page_id", F.concat(
-        F.lit("https://docs.example.org/"), "output_path", F.lit("?page="), "page_id").alias("url"))
+        F.lit("https://docs.example.org/"), "output_path", F.lit("?page="), "page_id").alias("url"),
+        _fragment().alias("fragment"))
     parent = F.floor((F.col("page_id") - 1) / 2)
     down = nodes.filter("page_id > 0").select(parent.alias("page_id"), F.col("url").alias("target"))
     home = nodes.filter("page_id = 0").select(F.col("url").alias("target"))
-    edges = nodes.join(down, "page_id").select("url", "target")
+    edges = nodes.join(down, "page_id").select(F.concat("url", "fragment").alias("url"), "target")
     home_url = home.first()["target"]
     return nodes, (
         edges
-        .unionByName(nodes.select("url", F.lit(home_url).alias("target")))
-        .unionByName(nodes.select("url", F.col("url").alias("target")))
+        .unionByName(nodes.select(F.concat("url", "fragment").alias("url"), F.lit(home_url).alias("target")))
+        .unionByName(nodes.select(F.concat("url", "fragment").alias("url"), F.col("url").alias("target")))
     ), home
 
 
@@ -173,7 +193,7 @@ def site_crawl(spark, sf):
     stored = _pages(spark, sf)
     paths = stored.select("page_id", F.concat(
         F.lit("/"), urls.output_path(F.col("url")), F.lit("?page="), "page_id").alias("path"))
-    site = stored.drop("url").join(paths, "page_id")
+    site = stored.withColumn("fragment", _fragment()).drop("url").join(paths, "page_id")
     anchors = []
     for offset in (1, 2):
         child = paths.select(
@@ -185,7 +205,7 @@ def site_crawl(spark, sf):
             F.lit('<a href="'), f"child{offset}", F.lit(f'">{offset}</a>')), F.lit("")))
     html = F.replace("html", F.lit("<article>"), F.concat(F.lit("<article>"), *anchors))
     origin = "https://docs.example.org"
-    site = site.select("page_id", F.concat(F.lit(origin), "path").alias("url"), html.alias("html"))
+    site = site.select("page_id", F.concat(F.lit(origin), "path", "fragment").alias("url"), html.alias("html"))
     first = site.filter("page_id = 0").select("url").first()["url"]
     return jobs.site_to_markdown(site, first, CRAWL_FILTER)
 
@@ -218,7 +238,7 @@ def chunk_ids(spark, sf):
 
 
 def chunk_token_stats(spark, sf):
-    return chunking.token_report(_chunks(spark, sf))
+    return chunking.token_report(_chunks(spark, sf), _documents(spark, sf))
 
 
 # Embeddings
@@ -245,10 +265,19 @@ def embed_model(spark, sf):
         for i, name in enumerate(("chars", "letters_e", "spaces"))])
 
 
+class FailsOnThree(LetterCounts):
+    """A model that breaks on some texts."""
+
+    def encode(self, texts):
+        if any(t.endswith("3") for t in texts):
+            raise RuntimeError("this text cannot be encoded")
+        return super().encode(texts)
+
+
 def _with_failures(spark, sf):
-    """As if the backend had failed on every text of one source."""
-    failed = F.col("source_path") == "label_3"
-    return _vectors(spark, sf).withColumn("vector", F.when(~failed, F.col("vector")))
+    """Texts sent to the model one by one, so that the layout does not decide which of them fail."""
+    return embedding.embed(_vectors(spark, sf).drop("vector"),
+                           backend=embedding.model(FailsOnThree, batch_size=1))
 
 
 def embed_valid_only(spark, sf):
@@ -286,11 +315,23 @@ def knn_batch(spark, sf):
     return _shown(retrieval.nearest(vectors, centres, k=5, keep=("vec_id",)))
 
 
+def knn_small_scale(spark, sf):
+    """As ``knn_batch`` at a millionth of the size; distances are given relative to the nearest one."""
+    centres = _mean_vectors(spark, sf, "label").select(F.col("label").alias("query_id"), _scaled("vector"))
+    vectors = _embeddings(spark, sf).select("vec_id", _scaled("embedding"))
+    hits = retrieval.nearest(vectors, centres, k=5, keep=("vec_id",))
+    first = F.min("distance").over(Window.partitionBy("query_id"))
+    return hits.withColumn("distance", F.round(F.col("distance") / first, 6))
+
+
+def _scaled(column):
+    return F.transform(column, lambda x: x.cast("double") * 1e-6).alias("vector")
+
+
 def knn_report(spark, sf):
-    rows = jobs.index_rows(_documents(spark, sf))
-    asked = embedding.embed(_questions(spark, sf), "query_text")
-    hits = retrieval.nearest(rows, asked, k=3, keep=("id", "source_path", "text"))
-    return retrieval.hit_report(hits, chars=150)
+    path = scratch_table(spark, "index")
+    jobs.build_index(_documents(spark, sf), path)
+    return retrieval.hit_report(jobs.retrieve(spark, path, _questions(spark, sf), k=3), chars=150)
 
 
 # Jobs
@@ -307,6 +348,13 @@ def index_build(spark, sf):
     return stored.select("id", "source_path", "text", used.alias("n_buckets"))
 
 
+def index_semantic(spark, sf):
+    """Index of semantic chunks."""
+    path = scratch_table(spark, "index")
+    jobs.build_index(_documents(spark, sf), path, chunker="semantic")
+    return vector_store.open_table(spark, path).select("id", "source_path", "text")
+
+
 def retrieve(spark, sf):
     path = scratch_table(spark, "index")
     jobs.build_index(_documents(spark, sf), path)
@@ -315,11 +363,12 @@ def retrieve(spark, sf):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        store_roundtrip, store_count, page_sink_latest, chunk_counts, corpus_totals,
+        store_roundtrip, store_count, store_rebuild, page_sink_latest, chunk_counts, corpus_totals,
         page_content, page_prune, page_markdown, page_output_path, page_prune_stats,
         page_links, links_resolved, links_in_scope, links_unvisited, links_dangling, crawl_reach, site_crawl,
         chunk_recursive, chunk_offsets, chunk_tokens, chunk_semantic, sentences, chunk_ids,
         chunk_token_stats, embed_hashed, embed_model, embed_valid_only, embed_failures,
-        knn_top_k, knn_batch, knn_report, site_to_markdown, index_build, retrieve,
+        knn_top_k, knn_batch, knn_small_scale, knn_report, site_to_markdown, index_build, index_semantic,
+        retrieve,
     )
 }

@@ -74,7 +74,7 @@ vectors AS (
     LEFT JOIN weights AS w ON w.key = k.key AND w.bucket = d.b
     GROUP BY k.key)"""
 
-DISTANCE = "round(list_sum(list_transform(range(1, 65), lambda i: ({a}[i]::DOUBLE - {b}[i]::DOUBLE) ** 2)), 9)"
+DISTANCE = "list_sum(list_transform(range(1, 65), lambda i: ({a}[i]::DOUBLE - {b}[i]::DOUBLE) ** 2))"
 
 LINKS = r"""hrefs AS (
     SELECT page_id, url, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href
@@ -263,8 +263,15 @@ SELECT 'vec_' || vec_id AS id, 'vector of label ' || label AS text,
        round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 6) AS squares
 FROM embeddings""",
     "store_count": "SELECT 2 * count(*) AS n_rows FROM embeddings",
-    "page_sink_latest": f"WITH {PATHS} SELECT host, output_path, page_id, url FROM latest",
-    "chunk_counts": f"WITH {CHUNKS} SELECT source_path, count(*) AS n_chunks FROM chunks GROUP BY ALL",
+    "store_rebuild": """
+SELECT 'label_' || label AS source_path, count(*) AS n_rows, max(len(embedding))::INTEGER AS width,
+       (SELECT count(*) FROM embeddings WHERE label <> 0) AS n_all
+FROM embeddings WHERE label <> 0 GROUP BY label""",
+    "page_sink_latest": f"""WITH {PATHS}, {MARKDOWN}
+SELECT host, output_path, page_id, url, markdown FROM latest JOIN markdowns USING (page_id)""",
+    "chunk_counts": f"""WITH {CHUNKS}
+SELECT 'doc_' || doc_id || '.md' AS source_path, count(chunks.source_path) AS n_chunks
+FROM documents LEFT JOIN chunks ON chunks.source_path = 'doc_' || doc_id || '.md' GROUP BY ALL""",
     "corpus_totals": f"""WITH {CHUNKS}
 SELECT (SELECT count(*) FROM documents)::BIGINT AS n_documents,
        (SELECT count(*) FROM chunks)::BIGINT AS n_chunks""",
@@ -293,7 +300,8 @@ SELECT DISTINCT target AS url FROM resolved WHERE NOT contains(url, '?')
 AND target NOT IN (SELECT target FROM resolved WHERE contains(url, '?'))""",
     "links_dangling": f"""WITH {LINKS}
 SELECT target AS url, count(*) AS n_links FROM resolved
-WHERE target NOT IN (SELECT split_part(url, '#', 1) FROM pages) GROUP BY target""",
+WHERE target NOT IN (SELECT split_part(url, '#', 1) FROM pages WHERE NOT contains(url, '?'))
+GROUP BY target""",
     "crawl_reach": f"""WITH RECURSIVE {PATHS},
 nodes AS (
     SELECT page_id, 'https://docs.example.org/' || output_path || '?page=' || page_id AS url FROM paths),
@@ -336,9 +344,9 @@ FROM grouped WINDOW w AS (PARTITION BY source_path ORDER BY i)""",
 SELECT source_path || '_' || chunk_index AS id, source_path, chunk_index FROM chunks""",
     "chunk_token_stats": rf"""WITH {CHUNKS},
 counted AS (SELECT source_path, len(regexp_extract_all(text, '\S+'))::INTEGER AS n FROM chunks)
-SELECT source_path, count(*) AS n_chunks, min(n) AS min_tokens, round(avg(n), 6) AS avg_tokens,
-       max(n) AS max_tokens
-FROM counted GROUP BY source_path""",
+SELECT 'doc_' || doc_id || '.md' AS source_path, count(n) AS n_chunks, min(n) AS min_tokens,
+       round(avg(n), 6) AS avg_tokens, max(n) AS max_tokens
+FROM documents LEFT JOIN counted ON counted.source_path = 'doc_' || doc_id || '.md' GROUP BY ALL""",
     "embed_hashed": f"""WITH {DOCS}, texts AS (SELECT source_path AS key, text FROM docs), {CRC}
 SELECT key AS source_path, bucket, round(weight::DOUBLE, 6) AS weight FROM weights""",
     "embed_model": f"""WITH {CHUNKS}
@@ -347,10 +355,10 @@ SELECT source_path || '_' || chunk_index AS id, length(text)::DOUBLE AS chars,
        (length(text) - length(replace(text, ' ', '')))::DOUBLE AS spaces
 FROM chunks WHERE regexp_matches(text, '\\S')""",
     "embed_valid_only": """
-SELECT 'vec_' || vec_id AS id, 'label_' || label AS source_path FROM embeddings WHERE label <> 3""",
+SELECT 'vec_' || vec_id AS id, 'label_' || label AS source_path FROM embeddings WHERE NOT ends_with(label::VARCHAR, '3')""",
     "embed_failures": """
-SELECT 'label_' || label AS source_path, count(*) FILTER (label <> 3) AS n_stored,
-       count(*) FILTER (label = 3) AS n_dropped
+SELECT 'label_' || label AS source_path, count(*) FILTER (NOT ends_with(label::VARCHAR, '3')) AS n_stored,
+       count(*) FILTER (ends_with(label::VARCHAR, '3')) AS n_dropped
 FROM embeddings GROUP BY label""",
     "knn_top_k": f"""WITH {_means("", "")},
 measured AS (
@@ -363,6 +371,15 @@ measured AS (
     SELECT query_id, vec_id, {DISTANCE.format(a="embedding", b="centre")} AS distance
     FROM embeddings, centres)
 SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id, round(distance, 6) AS distance
+FROM measured WINDOW w AS (PARTITION BY query_id ORDER BY measured.distance, vec_id) QUALIFY rank <= 5""",
+    "knn_small_scale": f"""WITH {_means("label", "query_id")},
+small AS (
+    SELECT query_id, vec_id, list_transform(embedding, lambda x: x::DOUBLE * 1e-6) AS v,
+           list_transform(centre, lambda x: x * 1e-6) AS c
+    FROM embeddings, centres),
+measured AS (SELECT query_id, vec_id, {DISTANCE.format(a="v", b="c")} AS distance FROM small)
+SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id,
+       round(distance / min(distance) OVER (PARTITION BY query_id), 6) AS distance
 FROM measured WINDOW w AS (PARTITION BY query_id ORDER BY measured.distance, vec_id) QUALIFY rank <= 5""",
     "knn_report": f"""WITH {_asked(3)}
 SELECT query_id, rank, id, source_path, substring(text, 1, 150) AS text FROM hits""",
@@ -373,6 +390,9 @@ texts AS (SELECT source_path || '_' || chunk_index AS key, text FROM chunks), {C
 used AS (SELECT key, count(*)::INTEGER AS n_buckets FROM weights GROUP BY key)
 SELECT key AS id, source_path, text, n_buckets
 FROM used JOIN chunks ON key = source_path || '_' || chunk_index""",
+    "index_semantic": f"""WITH {DOCS}, {SENTENCES}, {SEMANTIC}
+SELECT source_path || '_' || i AS id, source_path, g.text AS text FROM grouped
+WHERE regexp_matches(g.text, '[\\p{{L}}\\p{{N}}]')""",
     "retrieve": f"""WITH {_asked(5)}
 SELECT query_id, rank, id, source_path, text, round(distance, 6) AS distance FROM hits""",
 }

@@ -8,6 +8,14 @@ PAGES = T.StructType([
     T.StructField("html", T.StringType()),
 ])
 
+MARKDOWN = T.StructType([
+    T.StructField("page_id", T.LongType()),
+    T.StructField("url", T.StringType()),
+    T.StructField("host", T.StringType()),
+    T.StructField("output_path", T.StringType()),
+    T.StructField("markdown", T.StringType()),
+])
+
 DOCUMENTS = T.StructType([
     T.StructField("text", T.StringType()),
     T.StructField("source_path", T.StringType()),

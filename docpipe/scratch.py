@@ -7,13 +7,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: dict[str, list[str]] = {}
+
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where
-    none is set."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Where none is set a local
+    session gets a temporary one; on a cluster that is an error, as executors would write to disks
+    of their own."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="docpipe-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
@@ -22,7 +27,20 @@ def scratch_dir(spark: SparkSession) -> str:
 
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A fresh table path in the shared folder."""
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> int:
+    """Removes the tables made by ``scratch_table`` in this session; what was computed from them must
+    have been stored. Returns their number."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+    return len(paths)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -31,17 +49,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_lineage_in_place(df: DataFrame, parts: int) -> DataFrame:
-    """Checkpoint that keeps how ``df`` is partitioned and sorted, so later joins on those keys do
-    not move it again. Spark records the layout only of a plan that is fixed before it runs, hence
-    without adaptive execution, and with ``parts`` shuffle partitions, for this one job."""
-    spark = df.sparkSession
-    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(parts)}
-    before = {key: spark.conf.get(key) for key in wanted}
-    try:
-        for key, value in wanted.items():
-            spark.conf.set(key, value)
-        return cut_lineage(df)
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` stored as a scratch table and read back: computed once, lineage cut, columns prunable."""
+    path = scratch_table(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,30 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpipe.functions.vectors import finite
 from docpipe.schemas import VECTORS
 from docpipe.sources.corpus import any_path
 
 
 def has_table(spark: SparkSession, path: str) -> bool:
-    return any_path(spark, f"{path.rstrip('/')}/*.parquet")
+    folder = path.rstrip("/")
+    return any_path(spark, f"{folder}/*.parquet") or any_path(spark, f"{folder}/batch=*/*.parquet")
 
 
 def open_table(spark: SparkSession, path: str) -> DataFrame:
     """The stored rows; an empty table of the same schema when nothing was stored yet."""
     if not has_table(spark, path):
         return spark.createDataFrame([], VECTORS)
-    return spark.read.schema(VECTORS).parquet(path)
+    return spark.read.schema(VECTORS).option("recursiveFileLookup", "true").parquet(path)
 
 
 def _width(df: DataFrame) -> int | None:
-    row = df.select(F.size("vector").alias("n")).limit(1).collect()
+    """Width of the first vector there is."""
+    row = df.filter(F.col("vector").isNotNull()).select(F.size("vector").alias("n")).limit(1).collect()
     return row[0]["n"] if row else None
 
 
 def _checked(df: DataFrame, width: int | None) -> DataFrame:
-    """Rows as they are stored; a null id, a null vector or another width fails the write. The
-    check rides along in the projection, so the data is computed once."""
-    good = F.col("id").isNotNull() & F.col("vector").isNotNull()
+    """Rows as they are stored; a null id, a null vector, a missing or non-finite element or another
+    width fails the write. The check rides along in the projection, so the data is computed once."""
+    good = F.col("id").isNotNull() & F.col("vector").isNotNull() & finite(F.col("vector"))
     if width is not None:
         good = good & (F.size("vector") == width)
     message = F.concat(F.lit("not a storable row: "), F.coalesce("id", F.lit("null id")))
@@ -43,14 +46,23 @@ def append_rows(df: DataFrame, path: str, width: int | None = None) -> None:
     """Create or append. An empty input changes nothing; errors are raised to the caller."""
     spark = df.sparkSession
     width = _width(open_table(spark, path)) or width or _width(df)
-    if width is not None:
+    if width is not None or not df.isEmpty():
         _checked(df, width).write.mode("append").parquet(path)
 
 
+def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """``append_rows`` for a numbered batch: writing a number again replaces its rows."""
+    spark = df.sparkSession
+    rows = df if "batch_id" not in df.columns else df.drop("batch_id")
+    width = _width(open_table(spark, path)) or _width(rows)
+    if width is not None or not rows.isEmpty():
+        _checked(rows, width).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+
 def replace_rows(df: DataFrame, path: str, width: int | None = None) -> None:
-    """Reset and store: the table holds exactly these rows afterwards. Give ``width`` to have it
-    checked; nothing is stored yet to compare with."""
-    _checked(df, width).write.mode("overwrite").parquet(path)
+    """Reset and store: the table holds exactly these rows afterwards. All must have one width, the
+    given one or that of the first row; finding it out computes the head of ``df`` once more."""
+    _checked(df, width or _width(df)).write.mode("overwrite").parquet(path)
 
 
 def reset(spark: SparkSession, path: str) -> None:

@@ -16,9 +16,9 @@ def index_stream(
     backend: embedding.Backend | None = None,
 ) -> DataStreamWriter:
     """Writer that chunks, embeds and appends every micro-batch of ``documents(source_path, text)``.
-    The caller sets the trigger and the checkpoint location and starts it. Delivery is at least
-    once: a batch repeated after a failure is appended again, as any repeated append is."""
+    The caller sets the trigger and the checkpoint location and starts it. A batch repeated after a
+    failure replaces the rows of its first try, as each batch is kept by its number."""
     def store(batch: DataFrame, batch_id: int) -> None:
-        vector_store.append_rows(jobs.index_rows(batch, limit, backend), path)
+        vector_store.append_batch(jobs.index_rows(batch, limit, backend), path, batch_id)
 
     return documents.writeStream.foreachBatch(store)

@@ -104,20 +104,21 @@ def test_crawl_leaves_the_session_as_it_was(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == before
 
 
-def test_crawl_edges_are_not_moved_again(spark):
-    """After the first write a join on the source URL finds the edges placed and sorted."""
-    from docpipe.scratch import cut_lineage_in_place
-    from tests.conftest import plan_of
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = spark.range(1000).selectExpr("cast(id % 9 AS string) url", "cast(id AS string) target")
-    placed = cut_lineage_in_place(edges.repartition(parts, "url").sortWithinPartitions("url"), parts)
-    frontier = cut_lineage_in_place(
-        spark.range(5).selectExpr("cast(id AS string) url").repartition(parts, "url"), parts)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = frontier.join(placed, "url")
-        assert "Exchange" not in plan_of(joined)
-        assert joined.count() == 556
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_own_fragment_does_not_hide_a_page(spark):
+    edges = spark.createDataFrame(
+        [("http://h/a", "http://h/b"), ("http://h/b#top", "http://h/c")], "url string, target string")
+    assert _crawl(spark, edges, "http://h/a#x") == {"http://h/a": 0, "http://h/b": 1, "http://h/c": 2}
+
+
+def test_large_frontiers_are_joined(spark, monkeypatch):
+    monkeypatch.setattr(links, "SENT_URLS", 0)
+    edges = spark.createDataFrame(
+        [(f"http://h/{i}", f"http://h/{j}") for i in range(20) for j in (2 * i + 1, 2 * i + 2)],
+        "url string, target string")
+    assert len(_crawl(spark, edges, "http://h/0")) == 41
+
+
+def test_a_failed_page_answers_no_link(spark):
+    found = spark.createDataFrame([("http://h/a",), ("http://h/b",), ("http://h/b",), ("http://h/c",)], "target string")
+    stored = spark.createDataFrame([(1, "http://h/a#top", "<p>x"), (2, "http://h/b", None), (3, "http://h/c", "")], PAGES)
+    assert sorted(tuple(r) for r in links.dangling(found, stored).collect()) == [("http://h/b", 2), ("http://h/c", 1)]

@@ -131,5 +131,15 @@ def test_hot_path_folds_on_the_map_side(spark):
         "concat('p', id % 2) AS output_path")
     latest = pages.latest_per_path(df)
     assert sorted(r["page_id"] for r in latest.collect()) == [998, 999]
-    plan = plan_of(latest)
-    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan
+    assert "Exchange hash" not in plan_of(latest)
+
+
+def test_no_exchange_holds_markdown(spark):
+    from tests.conftest import plan_of
+
+    df = spark.range(100).selectExpr(
+        "id AS page_id", "'http://h.org/a' AS url", "'h' AS host",
+        "concat('p', id % 50) AS output_path", "'text' AS markdown")
+    latest = pages.latest_per_path(df.unionByName(df))
+    assert latest.count() == 50 and latest.columns == df.columns
+    assert "Exchange hashpartitioning" not in plan_of(latest)

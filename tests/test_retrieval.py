@@ -6,13 +6,20 @@ from docpipe.operators import retrieval
 from tests.conftest import plan_of
 
 
+def _squared(v, q):
+    total = 0.0
+    for a, b in zip(v, q, strict=True):
+        total += (float(a) - float(b)) ** 2
+    return total
+
+
 def _brute(vectors, queries, k):
     hits = []
     for query_id, q in queries:
         if q is None:
             continue
         ranked = sorted(
-            (round(sum((float(a) - float(b)) ** 2 for a, b in zip(v, q)), 9), name)
+            (_squared(v, q), name)
             for name, v in vectors if v is not None)
         hits += [(query_id, i + 1, name, d) for i, (d, name) in enumerate(ranked[:k])]
     return hits
@@ -50,7 +57,7 @@ def test_matches_brute_force(spark, k):
 
 @pytest.mark.parametrize("max_block", [1, 4, 6])
 def test_query_blocks_give_the_same(spark, max_block):
-    """More queries than may be sent to every task: the block join takes over."""
+    """More queries than may be sent at once: they are taken in blocks."""
     vectors, queries = _data(200, 25, seed=3)
     v, q = _frames(spark, vectors, queries)
     assert _rows(retrieval.nearest(v, q, 4, max_block=max_block)) == _rows(retrieval.nearest(v, q, 4))
@@ -135,3 +142,39 @@ def test_report(spark):
         "query_id long, rank int, id string, source_path string, text string, distance double")
     assert len(retrieval.hit_report(hits, 150).first()["text"]) == 150
     assert len(retrieval.hit_report(hits).first()["text"]) == 200
+
+
+def test_small_scale_keeps_its_order(spark):
+    vectors = [("a", [9e-6]), ("b", [1e-6]), ("c", [5e-6])]
+    v, q = _frames(spark, vectors, [(0, [0.0])])
+    assert [r[2] for r in _rows(retrieval.nearest(v, q, 2))] == ["b", "c"]
+    assert [r["id"] for r in retrieval.nearest_to(v, [0.0], 2).collect()] == ["b", "c"]
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), None])
+def test_a_vector_that_is_not_finite_is_named(spark, bad):
+    vectors = [(f"v{i}", [float(i), 1.0]) for i in range(50)] + [("odd", [bad, 1.0])]
+    v, q = _frames(spark, vectors, [(0, [0.0, 0.0])])
+    with pytest.raises(Exception, match="not a finite vector: odd"):
+        retrieval.nearest(v, q, 3).collect()
+    with pytest.raises(Exception, match="not a finite vector: odd"):
+        retrieval.nearest_to(v, [0.0, 0.0], 3).collect()
+    with pytest.raises(Exception, match="not a finite vector"):
+        retrieval.nearest(*_frames(spark, [("v", [1.0, 1.0])], [(0, [bad, 1.0])]), 3).collect()
+
+
+def test_a_model_sees_each_query_once(spark, tmp_path):
+    def load():
+        class Seen:
+            def encode(self, texts):
+                with open(f"{tmp_path}/seen", "a") as out:
+                    out.writelines(f"{t}\n" for t in texts)
+                return [[float(len(t))] for t in texts]
+        return Seen()
+
+    from docpipe.operators import embedding
+    asked = spark.createDataFrame([(i, "x" * i) for i in range(20)], "query_id long, query_text string")
+    queries = embedding.embed(asked, "query_text", embedding.model(load)).select("query_id", "vector")
+    v, _ = _frames(spark, [("a", [3.0]), ("b", [9.0])], [])
+    assert retrieval.nearest(v, queries, 1, max_block=3).count() == 20
+    assert len((tmp_path / "seen").read_text().splitlines()) == 20

@@ -1,7 +1,8 @@
 import pytest
 
+from docpipe import scratch
 from docpipe.operators import pages
-from docpipe.schemas import VECTORS
+from docpipe.schemas import MARKDOWN, VECTORS
 from docpipe.sources import page_store, vector_store
 
 
@@ -56,13 +57,56 @@ def test_bad_rows_fail_the_write(spark, path, bad):
 
 
 def test_markdown_table(spark, tmp_path):
-    df = spark.createDataFrame(
-        [(i, f"http://h{i % 3}.org/{i}", f"h{i % 3}.org", f"{i}.md", "x") for i in range(30)],
-        "page_id long, url string, host string, output_path string, markdown string")
+    rows = [(i, f"http://h{i % 3}.org/{i}", f"00{i % 3}", f"{i}.md", "x") for i in range(30)]
+    rows.append((40, "u", "", "e.md", None))
+    df = spark.createDataFrame(rows, MARKDOWN)
     where = str(tmp_path / "markdown")
     page_store.write_markdown(pages.latest_per_path(df), where)
     stored = page_store.read_markdown_table(spark, where)
-    assert stored.count() == 30
-    from tests.conftest import plan_of
-    one = stored.filter("host = 'h1.org'")
-    assert one.count() == 10 and "PartitionFilters: [isnotnull(host" in plan_of(one)
+    assert sorted(tuple(r) for r in stored.collect()) == sorted(rows)
+    page_store.write_markdown(df.limit(0), where)
+    assert page_store.read_markdown_table(spark, where).count() == 0
+
+
+@pytest.mark.parametrize("write", [vector_store.append_rows, vector_store.replace_rows])
+@pytest.mark.parametrize("vectors", [[None, [1.0], [2.0]], [[1.0], [1.0, 2.0]], [[float("nan")], [1.0]],
+                                     [[1.0], [float("inf")]], [None]])
+def test_a_bad_vector_fails_the_write(spark, tmp_path, write, vectors):
+    rows = [(f"v{i}", "t", "s", v) for i, v in enumerate(vectors)]
+    with pytest.raises(Exception, match="not a storable row: v"):
+        write(spark.createDataFrame(rows, VECTORS).coalesce(1), str(tmp_path / "t"))
+
+
+def test_numbered_batches_replace_themselves(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([("a", "t", "s", [1.0])], VECTORS)
+    for batch in (0, 1, 1):
+        vector_store.append_batch(rows, path, batch)
+    vector_store.append_rows(rows, path)
+    assert vector_store.count_rows(spark, path) == 3
+    vector_store.replace_rows(rows, path)
+    assert vector_store.count_rows(spark, path) == 1
+
+
+def test_scratch_is_shared_or_local_and_cleared(spark, tmp_path, monkeypatch):
+    path = scratch.scratch_table(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert scratch.clear(spark) > 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_dir(Cluster)
