@@ -79,20 +79,24 @@ def _lines(text: str | None) -> list[str]:
     return (text or "").split("\n")
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the rows of a sorted partition and gives every ``BLOCK`` lines a block."""
-    base = TaskContext.get().partitionId() << 40
-    place = lines = 0
-    for batch in batches:
-        blocks, places = [], []
-        for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
-            blocks.append(base + lines // BLOCK)
-            places.append(base + place)
-            place += 1
-            lines += (text or "").count("\n") + 1
-        yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(blocks, pa.int64()), pa.array(places, pa.int64())],
-            names=[*batch.schema.names, "block", "place"])
+def _blocks(size: int):
+    """Numbers the rows of a sorted partition and gives every ``size`` lines a block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 40
+        place = lines = 0
+        for batch in batches:
+            blocks, places = [], []
+            for text in batch.column(batch.schema.get_field_index("text")).to_pylist():
+                blocks.append(base + lines // size)
+                places.append(base + place)
+                place += 1
+                lines += (text or "").count("\n") + 1
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(blocks, pa.int64()), pa.array(places, pa.int64())],
+                names=[*batch.schema.names, "block", "place"])
+
+    return run
 
 
 def ordered(df: DataFrame, conv: str, order: str, text: str, role: str | None = None) -> DataFrame:
@@ -103,7 +107,7 @@ def ordered(df: DataFrame, conv: str, order: str, text: str, role: str | None =
     keys = ["conv", "ord", F.xxhash64("text")]
     rows = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
     schema = "conv long, ord long, text string, role string, block long, place long"
-    return stored(rows.mapInArrow(_blocks, schema), "transcript-blocks")
+    return stored(rows.mapInArrow(_blocks(BLOCK), schema), "transcript-blocks")
 
 
 def _count(roles: list[str]):
