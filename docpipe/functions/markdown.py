@@ -2,7 +2,7 @@
 
 Pieces carry control characters until the end, so that layout white space stays apart from the
 page's own: \\x01 paragraph break, \\x02 line break, \\x03 a space that must stay, \\x04 a line
-break inside preformatted text.
+break inside preformatted text, \\x05 and \\x06 around a quotation.
 """
 
 from __future__ import annotations
@@ -10,14 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PARA, LINE, SPACE, PRE_LINE = "\x01", "\x02", "\x03", "\x04"
+PARA, LINE, SPACE, PRE_LINE, QUOTE, UNQUOTE = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
 INDENT = SPACE * 4
 
 # Elements set off by blank lines, emphasis marks, elements without visible text.
-BLOCKS = ("p", "div", "section", "article", "main", "body", "header", "footer", "blockquote",
-          "table", "figure", "dl", "h1", "h2", "h3", "h4", "h5", "h6")
+BLOCKS = ("p", "div", "section", "article", "main", "body", "header", "footer", "table",
+          "figure", "dl", "h1", "h2", "h3", "h4", "h5", "h6")
 HEADINGS = {"h1": 1, "h2": 2, "h3": 3, "h4": 4, "h5": 5, "h6": 6}
-MARKS = {"b": "**", "strong": "**", "em": "_", "i": "_"}
+MARKS = {"b": "**", "strong": "**", "em": "_", "i": "_", "del": "~~", "s": "~~", "strike": "~~"}
+TYPED = ("code", "kbd", "samp", "tt")
 SILENT = ("script", "style", "head")
 
 
@@ -31,7 +32,8 @@ def _opening(t: Column) -> Column:
     return (
         piece
         .when(t["tag"] == "br", F.lit(SPACE * 2 + LINE))
-        .when((t["tag"] == "code") & ~t["verbatim"], F.lit("`"))
+        .when(t["tag"].isin(*TYPED) & ~t["verbatim"], F.lit("`"))
+        .when(t["tag"] == "blockquote", F.lit(PARA + QUOTE))
         .when((t["tag"] == "a") & t["href"].isNotNull(), F.lit("["))
         .when(t["tag"] == "img", F.concat(
             F.lit("!["), F.coalesce(t["alt"], F.lit("")),
@@ -55,7 +57,8 @@ def _closing(t: Column) -> Column:
     title = F.when(t["title"].isNotNull(), F.concat(F.lit(' "'), t["title"], F.lit('"')))
     return (
         piece
-        .when((t["tag"] == "code") & ~t["verbatim"], F.lit("`"))
+        .when(t["tag"].isin(*TYPED) & ~t["verbatim"], F.lit("`"))
+        .when(t["tag"] == "blockquote", F.lit(UNQUOTE + PARA))
         .when((t["tag"] == "a") & t["href"].isNotNull(), F.concat(
             F.lit("]("), t["href"], F.coalesce(title, F.lit("")), F.lit(")")))
         .when(t["tag"].isin("ul", "ol"), F.when(t["nest"] > 1, LINE).otherwise(PARA))
@@ -73,6 +76,19 @@ def _text(t: Column) -> Column:
     return F.when(t["verbatim"], verbatim).otherwise(F.regexp_replace(clean, r"[ \t\r\n\f]+", " "))
 
 
+def _quoted(text: Column) -> Column:
+    """Marks the lines of quotations; a quotation in another one ends it."""
+    def part(piece: Column, i: Column) -> Column:
+        halves = F.split(piece, UNQUOTE, 2)
+        inside = F.regexp_replace(F.trim(F.get(halves, 0), F.lit(" \n")), "\n", "\n> ")
+        after = F.coalesce(F.get(halves, 1), F.lit(""))
+        return F.when(i == 0, piece).otherwise(F.concat(
+            F.lit("> "), inside, F.replace(after, F.lit(UNQUOTE), F.lit(""))))
+
+    marked = F.array_join(F.transform(F.split(text, QUOTE), part), "")
+    return F.when(F.contains(text, F.lit(QUOTE)), marked).otherwise(text)
+
+
 def to_markdown(tokens: Column) -> Column:
     pieces = F.transform(tokens, lambda t: (
         F.when(t["kind"] == "text", _text(t))
@@ -84,6 +100,7 @@ def to_markdown(tokens: Column) -> Column:
     text = F.regexp_replace(text, blank, "\n\n")
     text = F.regexp_replace(text, " {2,}", " ")
     text = F.regexp_replace(text, rf" *{LINE}[ {LINE}]*", "\n")
+    text = _quoted(text)
     text = F.regexp_replace(text, r"^[ \n]+|[ \n]+$", "")
     text = F.regexp_replace(text, PRE_LINE, "\n" + INDENT)
     return F.translate(text, SPACE, " ")

@@ -64,7 +64,9 @@ class _Outline(HTMLParser):
     def handle_starttag(self, tag, attrs):
         number = 0
         if tag in ("ul", "ol"):
-            self.lists.append([tag, 0])
+            start = dict(attrs).get("start") if tag == "ol" and attrs else None
+            begins = bool(start) and start.strip().isascii() and start.strip().isdigit() and len(start) < 10
+            self.lists.append([tag, int(start) - 1 if begins else 0])
         elif tag == "li" and self.lists and self.lists[-1][0] == "ol":
             self.lists[-1][1] += 1
             number = self.lists[-1][1]

@@ -1,6 +1,6 @@
 import os
 
-from docpipe.sources.corpus import read_markdown
+from docpipe.sources.corpus import read_markdown, scan_markdown
 
 
 def test_directory_tree(spark, tmp_path):
@@ -15,7 +15,10 @@ def test_directory_tree(spark, tmp_path):
         target.write_bytes(content)
     got = {os.path.relpath(r["source_path"], tmp_path): r["text"]
            for r in read_markdown(spark, str(tmp_path)).collect()}
-    assert got == {"a.md": "# A\nline\nend", "deep/er/b c.md": "grün", "naïve/ü.md": "umlaut"}
+    assert got == {"a.md": "# A\nline\nend", "deep/er/b c.md": "grün", "naïve/ü.md": "umlaut",
+                   "_draft.md": "no", "empty.md": ""}
+    failed = scan_markdown(spark, str(tmp_path)).where("not read").collect()
+    assert [os.path.relpath(r["source_path"], tmp_path) for r in failed] == ["bad.md"]
 
 
 def test_missing_directory_has_no_documents(spark, tmp_path):

@@ -85,6 +85,10 @@ def test_only_whole_class_names_and_substrings_as_stated(spark):
      '[l](/x "T") [m](y) n'),
     ("<img src='i.png' alt='pic'> <img src='j.png'>", "![pic](i.png) ![](j.png)"),
     ("<p>x</p><ul><li>a<li>b</ul>", "x\n\n  * a\n  * b"),
+    ("<blockquote>quoted</blockquote><ol start='4'><li>four</li><li>five</li></ol>",
+     "> quoted\n\n  4. four\n  5. five"),
+    ("a<blockquote><p>one</p><p>two<br>three</p></blockquote><p>b</p>", "a\n\n> one\n> \n> two  \n> three\n\nb"),
+    ("<del>old</del> <s>x</s> <kbd>Ctrl</kbd> <samp>out</samp> <tt>t</tt>", "~~old~~ ~~x~~ `Ctrl` `out` `t`"),
     ("<ol><li>a</li><li>b<ul><li>c</li></ul></li><li>d</li></ol>",
      "  1. a\n  2. b\n    * c\n  3. d"),
     ("<pre>if x:\n    y  z\n</pre>end", "    if x:\n        y  z\n\nend"),
