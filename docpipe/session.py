@@ -10,13 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 # A scan with fewer tasks than this many bytes each is worth spreading over idle cores.
 SPREAD_BYTES = 256 << 10
+# What a Python worker is handed at a time, unless the session says otherwise. The default lets Arrow
+# buffers of long texts outgrow an executor's room beside the heap.
+BATCH_BYTES = "8m"
+_BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Makes docpipe importable in Python workers, wherever the job was started from."""
+    """Makes docpipe importable in Python workers, wherever the job was started from, and bounds the
+    batches they are handed."""
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_KEY, None) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_KEY, BATCH_BYTES)
     if context.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parent
