@@ -52,7 +52,7 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:size], _powers[1][:size]
 
 
-def by_size(batch: pa.RecordBatch, column: int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def by_size(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of ``batch`` with about ``size`` bytes in one column; one row at least."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
@@ -158,7 +158,7 @@ def cut_texts(texts: list[str], size: int = 1 << 20) -> tuple[list[str], np.ndar
     return pieces, np.array(counts, np.int64)
 
 
-def runs(pieces: list[str], size: int = 2 << 20) -> Iterator[list[str]]:
+def runs(pieces: list[str], size: int = 1 << 20) -> Iterator[list[str]]:
     """Stretches of ``pieces`` with about ``size`` characters together; one piece at least."""
     start = total = 0
     for i, piece in enumerate(pieces):
