@@ -12,7 +12,7 @@ and leftmost pair of every piece at a time. ``encode`` keeps the byte offset of
 range of tokens can be cut from the text, and ``decode`` turns ids back into bytes.
 
 Memory: slices of ``SLICE_BYTES``, a cache that starts anew past ``CACHE_PIECES`` pieces or
-``CACHE_LONG_BYTES`` of long ones (some 80 MB), and pieces of ``SLICE_BYTES`` of longer texts.
+``CACHE_LONG_BYTES`` of long ones (some 40 MB), and pieces of ``SLICE_BYTES`` of longer texts.
 
 Defined results: a null text is encoded as empty; an empty text has no ids. Null ids decode to empty
 bytes. An id outside the vocabulary is an error. Text that spells a special token is ordinary text.
@@ -36,8 +36,8 @@ from docpipe.llm.tables import fresh
 from docpipe.llm.words import by_size, cut_texts, runs
 
 SLICE_BYTES = 1 << 20
-CACHE_BITS = 21
-CACHE_PIECES = 1_000_000
+CACHE_BITS = 20
+CACHE_PIECES = 500_000
 CACHE_LONG_BYTES = 8_000_000
 LOCKSTEP_BYTES = 64
 SCAN_BLOCK = 256

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _M = np.uint64
 _BASE = 0x9E3779B97F4A7C15
