@@ -19,7 +19,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     and safe when executors are lost."""
     spark = df.sparkSession
     path = scratch_table(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
