@@ -51,9 +51,13 @@ def fold_dots(segments: Column) -> Column:
 
 
 def resolve(base: Column, href: Column) -> Column:
-    """Absolute URL of ``href`` seen on page ``base``, fragment removed."""
+    """Absolute URL of ``href`` seen on page ``base``, fragment removed. An href with the page's own
+    scheme and no host is relative."""
     stripped = F.regexp_replace(href, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
     ref = without_fragment(F.regexp_replace(stripped, r"[\t\r\n]", ""))
+    own = F.lower(F.regexp_extract(ref, SCHEME, 1)) == F.lower(F.regexp_extract(base, SCHEME, 1))
+    rest = F.regexp_replace(ref, SCHEME, "")
+    ref = F.when(ref.rlike(SCHEME) & own & ~rest.startswith("//"), rest).otherwise(ref)
     base_path = url_path(base)
     site = F.concat(F.regexp_extract(base, SCHEME, 0), F.lit("//"), authority(base))
 

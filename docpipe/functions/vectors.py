@@ -18,24 +18,24 @@ def word_buckets(text: Column, width: int = DEFAULT_WIDTH) -> Column:
         words, lambda word: (F.crc32(word.cast("binary")) % width).cast("int"))
 
 
+def _bucket_counts(ordered: Column) -> Column:
+    """(bucket, n) of a sorted bucket list, from the runs of equal buckets."""
+    starts = F.filter(
+        F.transform(ordered, lambda bucket, i: F.when(
+            (i == 0) | (bucket != F.get(ordered, i - 1)), struct_of(bucket=bucket, at=i))),
+        lambda run: run.isNotNull())
+    return let(starts, lambda runs: F.transform(runs, lambda run, i: struct_of(
+        bucket=run["bucket"],
+        n=F.coalesce(F.get(runs, i + 1)["at"], F.size(ordered)) - run["at"])))
+
+
 def hashed_vector(text: Column, width: int = DEFAULT_WIDTH) -> Column:
     """L2-normalised bucket counts as array<float>; null for text without words."""
     def counts(ordered: Column) -> Column:
-        """Dense counts from the runs of equal buckets in the sorted list."""
-        starts = F.filter(
-            F.transform(ordered, lambda bucket, i: F.when(
-                (i == 0) | (bucket != F.get(ordered, i - 1)), struct_of(bucket=bucket, at=i))),
-            lambda run: run.isNotNull())
-
-        def spread(runs: Column) -> Column:
-            found = F.map_from_entries(F.transform(runs, lambda run, i: struct_of(
-                bucket=run["bucket"],
-                n=F.coalesce(F.get(runs, i + 1)["at"], F.size(ordered)) - run["at"])))
-            return let(found, lambda n: F.transform(
-                F.sequence(F.lit(0), F.lit(width - 1)),
-                lambda bucket: F.coalesce(n[bucket], F.lit(0)).cast("double")))
-
-        return let(starts, spread)
+        """Dense counts."""
+        return let(F.map_from_entries(_bucket_counts(ordered)), lambda n: F.transform(
+            F.sequence(F.lit(0), F.lit(width - 1)),
+            lambda bucket: F.coalesce(n[bucket], F.lit(0)).cast("double")))
 
     def normalised(values: Column) -> Column:
         return let(norm(values), lambda n: F.transform(values, lambda v: (v / n).cast("float")))
@@ -71,22 +71,26 @@ def neighbour_cosine(vectors: Column) -> Column:
 
 
 def neighbour_word_cosine(texts: Column, width: int = DEFAULT_WIDTH) -> Column:
-    """``neighbour_cosine`` of the hashed vectors of an array of texts, from the bucket lists alone:
-    summing, over the words of a text, how often each one's bucket occurs in the other text is the
-    dot product of their counts. Short texts touch few buckets, so no dense vector is made."""
+    """``neighbour_cosine`` of the hashed vectors of an array of texts, from sparse bucket counts: the
+    dot product is a sum over the buckets of one text that the other one has too. Short texts touch few
+    buckets, so no dense vector is made."""
+    def sparse(ordered: Column) -> Column:
+        return let(_bucket_counts(ordered), lambda counts: struct_of(
+            counts=counts, by_bucket=F.map_from_entries(counts),
+            n=F.aggregate(counts, F.lit(0), lambda total, c: total + c["n"] * c["n"])))
+
     def shared(a: Column, b: Column) -> Column:
-        return F.aggregate(a, F.lit(0), lambda total, bucket: (
-            total + F.size(b) - F.size(F.array_remove(b, bucket))))
+        return F.aggregate(a["counts"], F.lit(0), lambda total, c: (
+            total + c["n"] * F.coalesce(b["by_bucket"][c["bucket"]], F.lit(0))))
 
     def measured(items: Column) -> Column:
         return F.transform(items, lambda item, i: F.when(i > 0, let(
             F.get(items, i - 1),
-            lambda before: shared(item["b"], before["b"])
+            lambda before: shared(item, before)
             / F.nullif(F.sqrt(item["n"]) * F.sqrt(before["n"]), F.lit(0.0)),
         )))
 
-    buckets = F.transform(texts, lambda t: word_buckets(t, width))
-    return let(F.transform(buckets, lambda b: struct_of(b=b, n=shared(b, b))), measured)
+    return let(F.transform(texts, lambda t: sparse(F.sort_array(word_buckets(t, width)))), measured)
 
 
 def squared_l2(a: Column, b: Column) -> Column:

@@ -99,3 +99,29 @@ def test_site_to_answers(spark, tmp_path):
     assert jobs.build_index(jobs.markdown_documents(crawled), path) == 2
     best = jobs.ask(spark, path, ["home"], k=1).first()
     assert (best["id"], best["source_path"]) == ("h.org/docs.md_0", "h.org/docs.md")
+
+
+def test_stored_fragment_does_not_cut_the_site(spark, tmp_path):
+    rows = [(1, "http://h.org/a", "<body><a href='b'>b</a></body>"),
+            (2, "http://h.org/b#top", "<body>old<a href='gone'>g</a></body>"),
+            (3, "http://h.org/b#end", "<body>new<a href='c'>c</a></body>"),
+            (4, "http://h.org/c", "<body>end</body>"), (5, "http://h.org/gone", "<body>x</body>")]
+    stored = spark.createDataFrame(rows, PAGES)
+    found = jobs.store_site(stored, str(tmp_path / "md"), "http://h.org/a#x")
+    assert sorted((r["page_id"], r["url"]) for r in found.collect()) == [
+        (1, "http://h.org/a"), (3, "http://h.org/b"), (4, "http://h.org/c")]
+
+
+def test_site_to_answers_in_one_job(spark, tmp_path):
+    stored = spark.createDataFrame(
+        [(i, f"http://h.org/{i}", f"<body><p>topic{i} words</p><a href='{i + 1}'>n</a></body>") for i in range(5)], PAGES)
+    report = jobs.index_site(stored, str(tmp_path / "md"), str(tmp_path / "index"), "http://h.org/0")
+    assert {(r["n_stored"], r["n_dropped"]) for r in report.collect()} == {(1, 0)}
+    assert jobs.ask(spark, str(tmp_path / "index"), ["topic3 words"], k=1).first()["source_path"] == "h.org/3.md"
+
+
+def test_index_report_names_dropped_chunks(spark, tmp_path):
+    docs = spark.createDataFrame([("a.md", "fine text"), ("b.md", "!!")], "source_path string, text string")
+    report = jobs.rebuild(docs, str(tmp_path / "i"), chunker="tokens")
+    assert {r["source_path"]: (r["n_stored"], r["n_dropped"]) for r in report.collect()} == {
+        "a.md": (1, 0), "b.md": (0, 1)}

@@ -10,6 +10,7 @@ BASE = "http://a/b/c/d;p?q"
 # The examples of RFC 3986, section 5.4, without fragments.
 RFC = {
     "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/",
+    "http:g": "http://a/b/c/g", "HTTP:/g": "http://a/g", "\x0bg\x01": "http://a/b/c/g",
     "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y",
     "#s": "http://a/b/c/d;p?q", "g#s": "http://a/b/c/g", "g?y#s": "http://a/b/c/g?y",
     ";x": "http://a/b/c/;x", "g;x": "http://a/b/c/g;x", "g;x?y#s": "http://a/b/c/g;x?y",
