@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator, Sequence
 from typing import Protocol
 
@@ -34,9 +35,11 @@ def hashed(width: int = DEFAULT_WIDTH) -> Backend:
 
 def model(load: Callable[[], Model], batch_size: int = BATCH_TEXTS) -> Backend:
     """A user's model. ``load`` runs once per Python worker and task; only the text column crosses
-    to Python. A batch whose encoding fails gives nulls, and the job goes on."""
+    to Python. A batch whose encoding fails gives nulls, and the job goes on; a task logs how many
+    failed and why the first one did."""
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = load()
+        failed, first = 0, None
         for texts in batches:
             vectors: list = []
             for start in range(0, len(texts), batch_size):
@@ -47,9 +50,12 @@ def model(load: Callable[[], Model], batch_size: int = BATCH_TEXTS) -> Backend:
                         raise ValueError("the model must return one vector per text")
                     vectors.extend(
                         None if v is None else [float(x) for x in v] for v in encoded)
-                except Exception:
+                except Exception as error:
+                    failed, first = failed + 1, first or error
                     vectors.extend([None] * len(part))
             yield pd.Series(vectors, dtype=object)
+        if failed:
+            logging.getLogger("docpipe").warning("%d batches were not embedded; the first: %r", failed, first)
 
     # Spark reads the batch form from the annotations, which are strings in this module.
     encode.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
