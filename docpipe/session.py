@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 SPREAD_BYTES = 256 << 10
 # What a Python worker is handed at a time, unless the session says otherwise. The default lets Arrow
 # buffers of long texts outgrow an executor's room beside the heap.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 _BATCH_KEY, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _shipped: set[str] = set()
