@@ -53,7 +53,8 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_size(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of ``batch`` with about ``size`` bytes in one column; one row at least."""
+    """Slices of ``batch`` with about ``size`` bytes in one column; one row at least. What Arrow holds for
+    reuse goes back to the system with the batch."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
     start = 0
@@ -62,6 +63,7 @@ def by_size(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator
         stop = max(start + 1, int(np.searchsorted(ends, done + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
