@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from docpipe.llm.tables import fresh
 from docpipe.llm.words import by_size, cut_texts, runs
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 CACHE_BITS = 20
 CACHE_PIECES = 500_000
 CACHE_LONG_BYTES = 8_000_000
