@@ -30,6 +30,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _M(32))
 
 
+def unmix(x: np.ndarray) -> np.ndarray:
+    """What ``mix`` made ``x`` of."""
+    back = _M(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
+    x = (x ^ (x >> _M(32))) * back
+    x = (x ^ (x >> _M(32))) * back
+    return x ^ (x >> _M(32))
+
+
 def _byte_values() -> np.ndarray:
     values = mix(np.arange(1, 257, dtype=np.uint64) * _M(_BASE))
     values[65:91] = values[97:123]
