@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -94,3 +95,10 @@ def test_queries_cover_their_tables(spark, name):
         assert rows > 0
     else:
         assert rows == spark.read.parquet(f"{sf}/{whole.get(name, 'documents')}.parquet").count()
+
+
+def test_tokens_decode_to_the_text(spark, tables):
+    folder, rows, _ = tables
+    got = corpus_pipeline.tokens(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()
+    assert {r["doc_id"]: r["decoded_sha256"] for r in got} == {
+        i: hashlib.sha256((t or "").encode()).hexdigest() for i, t, _ in rows}
