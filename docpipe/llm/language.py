@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from docpipe.llm.tables import fresh
 from docpipe.llm.words import by_size, cut_texts, runs
 
-CHARS = 12_000
+CHARS = 24_000
 ROWS = 400
 LANGUAGES = 1000
 BLOCK = 2048

@@ -1,3 +1,5 @@
+import random
+
 import numpy as np
 
 from docpipe.llm import language
@@ -76,3 +78,10 @@ def test_nothing_to_learn_from(documents):
 
 def test_one_language():
     assert language.predict(language.learn({"en": ["some text"]}), ["more text"]) == (["en"], [1.0])
+
+
+def test_the_sample_is_24000_symbols_a_language():
+    rng = random.Random(12)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(6000))
+    assert language.learn({"en": [text]}).log_size == language.learn({"en": [text]}, 24_000).log_size
+    assert language.learn({"en": [text]}).log_size != language.learn({"en": [text]}, 12_000).log_size
