@@ -65,4 +65,49 @@ ORACLE = {
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM smallest LEFT JOIN sizes USING (doc_id)
     """,
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+            FROM documents
+        ), toks AS (
+            SELECT rid, lang, source, unnest(regexp_split_to_array(t, '[\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM d
+        ), groups AS (
+            SELECT DISTINCT lang, source FROM d
+        ), kept AS (
+            SELECT lang, term FROM toks WHERE term <> '' GROUP BY lang, term HAVING count(DISTINCT rid) >= 3
+        ), vocab AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), counted AS (
+            SELECT lang, source, term, count(*) AS c FROM toks JOIN kept USING (lang, term) GROUP BY ALL
+        ), dense AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c
+            FROM groups g JOIN kept k ON g.lang = k.lang
+            LEFT JOIN counted c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ), scored AS (
+            SELECT dense.*, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang, source) + v) AS p
+            FROM dense JOIN vocab USING (lang)
+        ), lang_scored AS (
+            SELECT lang, term, 1 + (1000000000::HUGEINT * (c + 1)) // (sum(c) OVER (PARTITION BY lang) + v) AS q
+            FROM (SELECT lang, term, sum(c) AS c FROM dense GROUP BY lang, term) JOIN vocab USING (lang)
+        ), pair_sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM scored a JOIN scored b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY ALL
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ), terms AS (
+            SELECT s.lang, s.source, 'term' AS part, s.term AS item, (s.p - l.q) * (s.p - l.q) // l.q AS value
+            FROM scored s JOIN lang_scored l USING (lang, term)
+            WHERE s.c > 0 AND s.p > l.q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR rank <= 200
+    """,
 }

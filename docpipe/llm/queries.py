@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docpipe.llm import (
     bpe,
+    divergence,
     exact_dedup,
     language,
     minhash,
@@ -135,6 +136,11 @@ def op10_url_rules(spark: SparkSession, sf: str) -> DataFrame:
                            "doc_id", bad, LISTED)
 
 
+def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    """How far every source of every language is from the other sources, and its most over-used terms."""
+    return divergence.audit(table(spark, sf, "documents"), "lang", "source", "text")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -146,4 +152,5 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_rules": op10_url_rules,
+    "op13_source_divergence": op13_source_divergence,
 }
