@@ -110,4 +110,50 @@ ORACLE = {
         SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
         FROM ranked WHERE part = 'pair' OR rank <= 200
     """,
+    "op12_conversation_trie": """
+        WITH t AS (
+            SELECT conv_id AS conv, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id
+                                      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), cs AS (
+            -- crc32 of the decimal conv_id, bit by bit.
+            SELECT c, c - c % 5 AS base,
+                   xor(list_reduce(list_transform(str_split(CAST(c AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT)),
+                       lambda acc, b: list_reduce(range(8), lambda y, k:
+                           xor(y >> 1, CASE WHEN (y & 1) = 1 THEN 3988292384 ELSE 0 END), xor(acc, b)),
+                       CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS h
+            FROM (SELECT DISTINCT conv AS c FROM t)
+        ), rebuilt AS (
+            SELECT cs.c AS conv, t.pos, t.role, t.text FROM cs JOIN t ON t.conv = cs.base AND t.pos < cs.h
+            UNION ALL
+            SELECT cs.c, t.pos, t.role, t.text FROM cs JOIN t ON t.conv = cs.c AND t.pos >= cs.h
+        ), ids AS (
+            SELECT role, text, dense_rank() OVER (ORDER BY role, text) AS tid
+            FROM (SELECT DISTINCT role, text FROM rebuilt)
+        ), seqs AS (
+            SELECT cs.c AS conv, coalesce(list(i.tid ORDER BY r.pos) FILTER (WHERE i.tid IS NOT NULL), []) AS seq
+            FROM cs LEFT JOIN rebuilt r ON r.conv = cs.c LEFT JOIN ids i ON i.role = r.role AND i.text = r.text
+            GROUP BY cs.c
+        ), prefixes AS (
+            SELECT conv, d, seq[1:d] AS key, len(seq) AS total
+            FROM (SELECT conv, seq, unnest(range(0, len(seq) + 1)) AS d FROM seqs)
+        ), nodes AS (
+            SELECT key, d AS depth, count(*) AS n_convs, min(conv) AS conv_id,
+                   sha256(coalesce(string_agg(CASE WHEN total = d THEN CAST(conv AS VARCHAR) END, ',' ORDER BY conv), ''))
+                       AS ends_sha256
+            FROM prefixes GROUP BY key, d
+        ), own AS (
+            SELECT n.*, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(i.text) END AS own_saved,
+                   (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND c.key[1:n.depth] = n.key) AS n_children
+            FROM nodes n LEFT JOIN ids i ON n.depth > 0 AND i.tid = n.key[n.depth]
+        )
+        SELECT a.conv_id, a.depth, p.conv_id AS parent_conv_id, a.n_convs, a.n_children,
+               (SELECT count(*) FROM own b WHERE b.depth >= a.depth AND b.key[1:a.depth] = a.key AND b.n_children = 0)
+                   AS n_leaves,
+               (SELECT sum(b.own_saved) FROM own b WHERE b.depth >= a.depth AND b.key[1:a.depth] = a.key)
+                   AS saved_tokens,
+               a.ends_sha256
+        FROM own a LEFT JOIN nodes p ON p.depth = a.depth - 1 AND p.key = a.key[1:a.depth - 1] AND a.depth > 0
+    """,
 }

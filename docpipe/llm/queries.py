@@ -13,6 +13,7 @@ from docpipe.llm import (
     language,
     minhash,
     passages,
+    prefix_trie,
     templates,
     training_order,
     transcripts,
@@ -141,6 +142,27 @@ def op13_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return divergence.audit(table(spark, sf, "documents"), "lang", "source", "text")
 
 
+def rebuilt_conversations(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every conv_id c (null ones are no conversation) rebuilt from the first h turns of conversation
+    c - c % 5 (all if fewer, none if absent) and c's own turns after its first h; h = crc32 of c in
+    decimal, mod 9. Returns (turns: conv, pos, role, text; conversations: conv)."""
+    ordered = prefix_trie.ordered_turns(turns.where(F.col("conv_id").isNotNull()), "conv_id", "turn", "role", "text")
+    convs = ordered.select("conv").distinct().select(
+        "conv", (F.col("conv") - F.col("conv") % 5).alias("base"),
+        (F.crc32(F.col("conv").cast("string").cast("binary")) % 9).alias("h"))
+    borrowed = ordered.alias("t").join(
+        convs.alias("c"), (F.col("t.conv") == F.col("c.base")) & (F.col("t.pos") < F.col("c.h"))).select(
+        F.col("c.conv").alias("conv"), "t.pos", "t.role", "t.text")
+    own = ordered.join(convs, "conv").where(F.col("pos") >= F.col("h")).select("conv", "pos", "role", "text")
+    return borrowed.unionByName(own), convs.select("conv")
+
+
+def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
+    """Prefix trie of all rebuilt conversations: one row per distinct sequence of first turns."""
+    turns, convs = rebuilt_conversations(table(spark, sf, "conversations"))
+    return prefix_trie.trie_of(turns, convs)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -152,5 +174,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_rules": op10_url_rules,
+    "op12_conversation_trie": op12_conversation_trie,
     "op13_source_divergence": op13_source_divergence,
 }
