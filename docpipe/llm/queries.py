@@ -11,6 +11,7 @@ from docpipe.llm import (
     divergence,
     exact_dedup,
     language,
+    lm_score,
     minhash,
     passages,
     prefix_trie,
@@ -163,6 +164,19 @@ def op12_conversation_trie(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie.trie_of(turns, convs)
 
 
+def _held_out_7(doc_id: str):
+    """A seventh of the documents, which the language model does not learn from."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(7)) == 2, F.lit(False))
+
+
+def op11_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Log10 probability of every whole document under a hierarchical Pitman-Yor trigram model learned
+    from the documents that are not held out, beside an add-one unigram baseline."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", _held_out_7("doc_id").alias("held_out"))
+    model = lm_score.fit(docs.where(~F.col("held_out")), "text")
+    return lm_score.score(docs, "doc_id", "text", model, keep=["doc_id", "held_out"])
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -174,6 +188,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_url_rules": op10_url_rules,
+    "op11_lm_score": op11_lm_score,
     "op12_conversation_trie": op12_conversation_trie,
     "op13_source_divergence": op13_source_divergence,
 }
