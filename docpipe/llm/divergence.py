@@ -143,13 +143,19 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
         F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), F.col("h.source").alias("item"),
         (_f("g.p", "h.p") - _f("g.p", "h.zero") - _f("g.zero", "h.p")).alias("value"), F.lit(1).alias("common"))
     # ... terms of g against h's zero p, in both directions (g's side for (g, h), h's side for (h, g)) ...
+    # Terms of equal count in a group have equal p, so each distinct p of g meets h's zero p once,
+    # weighted by how many terms have it (a group has far fewer distinct counts than terms).
+    alike = cells.groupBy("lang", "source", "p").agg(F.count("*").alias("k"))
     others = sized.select("lang", F.col("source").alias("other"), F.col("zero").alias("other_zero"))
-    spread = cells.join(others, "lang").where(F.col("source") != F.col("other"))
-    own_side = spread.select("lang", "source", F.col("other").alias("item"),
-                             _f("p", "other_zero").alias("value"), F.lit(0).alias("common"))
-    far_side = spread.select("lang", F.col("other").alias("source"), F.col("source").alias("item"),
-                             _f("other_zero", "p").alias("value"), F.lit(0).alias("common"))
-    listed = both.unionByName(own_side).unionByName(far_side).groupBy("lang", "source", "item").agg(
+    spread = alike.join(others, "lang").where(F.col("source") != F.col("other"))
+    sides_of = F.explode(F.array(
+        F.struct(F.col("source").alias("source"), F.col("other").alias("item"),
+                 (F.col("k") * _f("p", "other_zero")).alias("value")),
+        F.struct(F.col("other").alias("source"), F.col("source").alias("item"),
+                 (F.col("k") * _f("other_zero", "p")).alias("value"))))
+    one_sided = spread.select("lang", sides_of.alias("s")).select(
+        "lang", "s.source", "s.item", "s.value", F.lit(0).alias("common"))
+    listed = both.unionByName(one_sided).groupBy("lang", "source", "item").agg(
         F.sum("value").alias("listed"), F.sum("common").alias("common"))
     # ... and the terms in neither, each worth f(zero_g, zero_h).
     sides = sized.select("lang", "source", F.col("zero").alias("zero_g"), "v")
