@@ -90,7 +90,8 @@ def neighbour_word_cosine(texts: Column, width: int = DEFAULT_WIDTH) -> Column:
             / F.nullif(F.sqrt(item["n"]) * F.sqrt(before["n"]), F.lit(0.0)),
         )))
 
-    return let(F.transform(texts, lambda t: sparse(F.sort_array(word_buckets(t, width)))), measured)
+    # Each text's sorted buckets are bound once: ``sparse`` reads them at every word.
+    return let(F.transform(texts, lambda t: let(F.sort_array(word_buckets(t, width)), sparse)), measured)
 
 
 def squared_l2(a: Column, b: Column) -> Column:

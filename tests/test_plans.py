@@ -49,6 +49,8 @@ def test_costly_columns_are_computed_once(spark):
     assert plan_of(queries()["embed_hashed"](spark, SF_DIR)).count("crc32") == 1
     plan = plan_of(queries()["page_markdown"](spark, SF_DIR))
     assert plan.count("td-main") == 1
+    # A sentence's words are hashed once, not again for each of its words.
+    assert plan_of(queries()["chunk_semantic"](spark, SF_DIR)).count("crc32") == 1
 
 
 def test_small_inputs_are_spread_and_large_ones_left_alone(spark):
