@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +63,52 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def replace_rows(df: DataFrame, path: str, width: int | None = None) -> None:
     """Reset and store: the table holds exactly these rows afterwards. All must have one width, the
-    given one or that of the first row; finding it out computes the head of ``df`` once more."""
-    _checked(df, width or _width(df)).write.mode("overwrite").parquet(path)
+    given one or that of the first row; finding it out computes the head of ``df`` once more.
+
+    The rows are written to a folder of their own beside the table first; only a complete write takes
+    the table's place (two renames), so a failed or bad build leaves the old table whole, and ``df``
+    may read the table it replaces."""
+    spark = df.sparkSession
+    folder = path.rstrip("/")
+    build = f"{folder}.build-{uuid.uuid4().hex}"
+    try:
+        _checked(df, width or _width(df)).write.mode("overwrite").parquet(build)
+    except Exception:
+        _delete(spark, build)
+        raise
+    _swap(spark, build, folder)
+
+
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    if fs.exists(where):
+        fs.delete(where, True)
+
+
+def _swap(spark: SparkSession, build: str, folder: str) -> None:
+    """Puts the finished ``build`` in ``folder``'s place. The old table is moved aside, not deleted,
+    until the build is in place; if that rename fails, it is moved back."""
+    fs, target = _file_system(spark, folder)
+    _, built = _file_system(spark, build)
+    aside = None
+    if fs.exists(target):
+        _, aside = _file_system(spark, f"{folder}.old-{uuid.uuid4().hex}")
+        if not fs.rename(target, aside):
+            _delete(spark, build)
+            raise OSError(f"could not move {folder} aside; it is unchanged")
+    if not fs.rename(built, target):
+        if aside is not None:
+            fs.rename(aside, target)
+        _delete(spark, build)
+        raise OSError(f"could not put the new rows in {folder}; the old table is back")
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 def reset(spark: SparkSession, path: str) -> None:

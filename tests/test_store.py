@@ -46,6 +46,24 @@ def test_reset_and_replace(spark, path):
     assert vector_store.count_rows(spark, path) == 3
 
 
+def test_a_failed_replace_keeps_the_old_table(spark, path):
+    vector_store.replace_rows(_rows(spark, 3), path)
+    bad = _rows(spark, 4).unionByName(spark.createDataFrame([("x", "t", "d", [1.0])], VECTORS))
+    with pytest.raises(Exception, match="not a storable row"):
+        vector_store.replace_rows(bad, path)
+    assert vector_store.count_rows(spark, path) == 3
+    assert sorted(r.id for r in vector_store.open_table(spark, path).collect()) == ["d_0", "d_1", "d_2"]
+    # No build of the failed write is left beside the table.
+    import glob
+    assert [p for p in glob.glob(path.rstrip("/") + ".*")] == []
+
+
+def test_replace_may_read_the_table_it_replaces(spark, path):
+    vector_store.replace_rows(_rows(spark, 5), path)
+    vector_store.replace_rows(vector_store.open_table(spark, path).filter("id <> 'd_1'"), path)
+    assert sorted(r.id for r in vector_store.open_table(spark, path).collect()) == ["d_0", "d_2", "d_3", "d_4"]
+
+
 @pytest.mark.parametrize("bad", [
     (None, "t", "d", [1.0, 2.0]), ("x", "t", "d", None), ("x", "t", "d", [1.0]),
 ])
