@@ -242,6 +242,48 @@ def _ends_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["key", "ends_sha256"])
 
 
+def _subtree_sums(nodes: DataFrame) -> DataFrame:
+    """(key, n_leaves, saved_tokens) of every node's subtree, in work linear in the nodes.
+
+    In byte order of keys a subtree is a run: it starts at the node's key and ends before its bound, the
+    key whose last turn id is one more. Each sum is the difference of two running totals over all nodes
+    in key order, read at the bound and at the key. The totals run per range of keys (a range partition,
+    one task each) and the ranges' own totals, one row per range, are added in; so no node is repeated
+    for its ancestors. The root's subtree is all nodes."""
+    leaf = (F.col("n_children") == 0).cast("long")
+    tid = F.conv(F.hex(F.substring("key", -WIDTH, WIDTH)), 16, 10).cast("long")
+    bound = F.concat(F.expr(f"substring(key, 1, {WIDTH} * (depth - 1))"),
+                     F.unhex(F.lpad(F.hex(tid + 1), 2 * WIDTH, "0")))
+    own = nodes.select("key", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("node"),
+                       F.lit(0).alias("sign"), leaf.alias("leaf"), F.col("own_saved").alias("saved"))
+    inner = nodes.where(F.col("depth") > 0)
+    asks = inner.select("key", F.lit(0).alias("kind"), F.col("key").alias("node"), F.lit(-1).alias("sign"),
+                        F.lit(0).cast("long").alias("leaf"), F.lit(0).cast("long").alias("saved")) \
+        .unionByName(inner.select(bound.alias("key"), F.lit(0).alias("kind"), F.col("key").alias("node"),
+                                  F.lit(1).alias("sign"), F.lit(0).cast("long").alias("leaf"),
+                                  F.lit(0).cast("long").alias("saved")))
+    # Asks come before a node of the same key: a total read there counts the nodes before that key.
+    events = stored(own.unionByName(asks).repartitionByRange("key", "kind")
+                    .withColumn("part", F.spark_partition_id()), "trie-order")
+    running = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = events.groupBy("part").agg(F.sum("leaf").alias("r_leaf"), F.sum("saved").alias("r_saved"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range, however large the data: the offsets of the ranges before each.
+    offsets = ranges.select("part", F.coalesce(F.sum("r_leaf").over(before), F.lit(0)).alias("o_leaf"),
+                            F.coalesce(F.sum("r_saved").over(before), F.lit(0)).alias("o_saved"))
+    # The asks alone are read; their running totals are those of all events up to them.
+    totals = events.withColumn("t_leaf", F.sum("leaf").over(running)) \
+        .withColumn("t_saved", F.sum("saved").over(running)).where(F.col("kind") == 0) \
+        .join(F.broadcast(offsets), "part")
+    sums = totals.groupBy(F.col("node").alias("key")).agg(
+        F.sum(F.col("sign") * (F.col("t_leaf") + F.col("o_leaf"))).alias("n_leaves"),
+        F.sum(F.col("sign") * (F.col("t_saved") + F.col("o_saved"))).alias("saved_tokens"))
+    # The root's key is empty; without nodes this row meets no node and goes.
+    whole = ranges.agg(F.sum("r_leaf").alias("n_leaves"), F.sum("r_saved").alias("saved_tokens")) \
+        .select(F.lit(b"").cast("binary").alias("key"), "n_leaves", "saved_tokens")
+    return sums.unionByName(whole)
+
+
 def ordered_turns(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv, pos, role, text): turns numbered from 0 in order, null role and text as ''."""
     clean = turns.select(F.col(conv).cast("long").alias("conv"), F.col(turn).alias("turn"),
@@ -285,11 +327,7 @@ def trie_of(turns: DataFrame, convs: DataFrame) -> DataFrame:
     nodes = nodes.join(children, "key", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0)))
     nodes = stored(nodes, "trie-counted")
 
-    # Subtree sums: each node adds its own values to itself and to every ancestor.
-    up = nodes.select(F.explode(F.sequence(F.lit(0), F.col("depth"))).alias("d"), "key",
-                      (F.col("n_children") == 0).cast("long").alias("leaf"), "own_saved") \
-        .select(F.expr(f"substring(key, 1, {WIDTH} * d)").alias("key"), "leaf", "own_saved") \
-        .groupBy("key").agg(F.sum("leaf").alias("n_leaves"), F.sum("own_saved").alias("saved_tokens"))
+    up = _subtree_sums(nodes)
 
     ends = keys.repartition("key").sortWithinPartitions("key", "conv").mapInArrow(_ends_digest, ENDS)
     parents = nodes.select(F.col("key").alias("parent_key"), F.col("conv_id").alias("parent_conv_id"))
