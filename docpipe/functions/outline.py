@@ -37,8 +37,10 @@ TOKEN_DDL = (
     + ",".join(f"{name}:string" for name in ATTRIBUTES)
     + ",nest:int,number:int,cells:int,verbatim:boolean>>"
 )
-# Output batches are cut at about this much markup, whatever the size of the input batch.
-BATCH_CHARS = 8 << 20
+# Output batches are cut at about this much markup or this many tokens, whatever the size of the input
+# batch: until then the tokens are Python objects, some ten times the size of their markup.
+BATCH_CHARS = 1 << 18
+BATCH_TOKENS = 1 << 14
 
 
 class _Outline(HTMLParser):
@@ -143,11 +145,13 @@ def _outline_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             parser.finish()
             ends.append(len(stops))
             size += len(markup)
-            if size >= BATCH_CHARS:
+            if size >= BATCH_CHARS or len(stops) >= BATCH_TOKENS:
                 yield flush(batch, start, ends, rows, stops)
                 start, size, ends, rows, stops = i + 1, 0, [], [], []
         if ends:
             yield flush(batch, start, ends, rows, stops)
+        # What Arrow holds for reuse goes back to the system with the batch.
+        pa.default_memory_pool().release_unused()
 
 
 def outline(pages: DataFrame) -> DataFrame:

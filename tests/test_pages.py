@@ -1,5 +1,7 @@
+import pyarrow as pa
 import pytest
 
+from docpipe.functions.outline import _outline_batches
 from docpipe.operators import pages
 from docpipe.schemas import PAGES
 
@@ -147,3 +149,14 @@ def test_no_exchange_holds_markdown(spark):
     latest = pages.latest_per_path(df.unionByName(df))
     assert latest.count() == 50 and latest.columns == df.columns
     assert "Exchange hashpartitioning" not in plan_of(latest)
+
+
+@pytest.mark.parametrize("filler", ["x" * 4_000, "<b>x</b>" * 500])
+def test_tokens_of_a_batch_are_handed_on_in_bounded_parts(filler):
+    # A worker holds the tokens of a part as Python objects, so a part is about 256 KB or 16,384 tokens.
+    html = f"<main>{filler}</main>"
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(300)), "html": [html] * 300})
+    parts = list(_outline_batches(iter([batch])))
+    assert [i for part in parts for i in part.column("page_id").to_pylist()] == list(range(300))
+    assert all(part.num_rows * len(html) < (1 << 18) + len(html) for part in parts)
+    assert all(len(part.column("tokens").flatten()) < (1 << 14) + 2_000 for part in parts)
