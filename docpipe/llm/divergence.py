@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docpipe.llm.tables import stored
+from docpipe.llm.words import by_size
 
 # Fixed values of the contract.
 TERM_SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -45,44 +46,61 @@ MIN_DOCS = 3
 SCALE = 1_000_000_000
 TOP_TERMS = 200
 
+# Bytes of text whose terms are listed at a time.
+SLICE_BYTES = 1 << 19
+
 PARTIAL = "lang string, source string, term string, n_docs long, n long"
 
 
+def _slice_counts(batch: pa.RecordBatch) -> pa.Table:
+    """Documents and occurrences per (lang, source, term) of a few texts."""
+    pieces = pc.split_pattern_regex(pc.ascii_lower(batch.column("text")), pattern=TERM_SEPARATORS)
+    flat = pc.list_flatten(pieces)
+    row = pc.list_parent_indices(pieces)
+    real = pc.not_equal(flat, "")
+    terms = pc.dictionary_encode(pc.filter(flat, real))
+    rows = pc.filter(row, real)
+    # Occurrences of each term in each document, then documents and occurrences per group and term.
+    per_doc = pa.table({"row": rows, "term": terms.indices}).group_by(["row", "term"], use_threads=False).aggregate(
+        [([], "count_all")])
+    doc_rows = per_doc.column("row")
+    per_group = pa.table({
+        "lang": pc.take(batch.column("lang"), doc_rows), "source": pc.take(batch.column("source"), doc_rows),
+        "term": per_doc.column("term"), "n": per_doc.column("count_all"),
+    }).group_by(["lang", "source", "term"], use_threads=False).aggregate([([], "count_all"), ("n", "sum")])
+    return pa.table({
+        "lang": per_group.column("lang"), "source": per_group.column("source"),
+        "term": pc.take(terms.dictionary, per_group.column("term")),
+        "n_docs": per_group.column("count_all").cast(pa.int64()), "n": per_group.column("n_sum").cast(pa.int64())})
+
+
 def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents per (lang, source, term) of one batch of texts; each (lang, source)
-    of the batch also gives one row with a null term and zero counts, so groups without terms are seen."""
+    of the batch also gives one row with a null term and zero counts, so groups without terms are seen.
+
+    A text's terms take many times its size while they are counted, so a batch is split ``SLICE_BYTES``
+    at a time and only the slices' counts are held until its end."""
+    names = ["lang", "source", "term", "n_docs", "n"]
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        lang = pc.fill_null(batch.column("lang"), "")
-        source = pc.fill_null(batch.column("source"), "")
-        text = pc.fill_null(batch.column("text"), "")
-        pieces = pc.split_pattern_regex(pc.ascii_lower(text), pattern=TERM_SEPARATORS)
-        flat = pc.list_flatten(pieces)
-        row = pc.list_parent_indices(pieces)
-        real = pc.not_equal(flat, "")
-        terms = pc.dictionary_encode(pc.filter(flat, real))
-        rows = pc.filter(row, real)
-        # Occurrences of each term in each document, then documents and occurrences per group and term.
-        per_doc = pa.table({"row": rows, "term": terms.indices}).group_by(["row", "term"]).aggregate(
-            [([], "count_all")])
-        doc_rows = per_doc.column("row")
-        per_group = pa.table({
-            "lang": pc.take(lang, doc_rows), "source": pc.take(source, doc_rows),
-            "term": per_doc.column("term"), "n": per_doc.column("count_all"),
-        }).group_by(["lang", "source", "term"]).aggregate([([], "count_all"), ("n", "sum")])
-        yield pa.RecordBatch.from_arrays([
-            per_group.column("lang").combine_chunks(), per_group.column("source").combine_chunks(),
-            pc.take(terms.dictionary, per_group.column("term")).combine_chunks(),
-            per_group.column("count_all").combine_chunks().cast(pa.int64()),
-            per_group.column("n_sum").combine_chunks().cast(pa.int64()),
-        ], names=["lang", "source", "term", "n_docs", "n"])
-        groups = pa.table({"lang": lang, "source": source}).group_by(["lang", "source"]).aggregate([])
+        filled = pa.RecordBatch.from_arrays(
+            [pc.fill_null(batch.column(name), "") for name in ("lang", "source", "text")],
+            names=["lang", "source", "text"])
+        counted = pa.concat_tables([_slice_counts(part) for part in by_size(filled, 2, SLICE_BYTES)])
+        merged = counted.group_by(["lang", "source", "term"], use_threads=False).aggregate(
+            [("n_docs", "sum"), ("n", "sum")]).select(
+            ["lang", "source", "term", "n_docs_sum", "n_sum"]).rename_columns(names)
+        yield from merged.to_batches()
+        groups = filled.select(["lang", "source"])
+        groups = pa.Table.from_batches([groups]).group_by(["lang", "source"], use_threads=False).aggregate([])
         zeros = pa.array([0] * groups.num_rows, pa.int64())
         yield pa.RecordBatch.from_arrays([
             groups.column("lang").combine_chunks(), groups.column("source").combine_chunks(),
             pa.nulls(groups.num_rows, pa.string()), zeros, zeros,
-        ], names=["lang", "source", "term", "n_docs", "n"])
+        ], names=names)
+        del counted, merged, filled
+        pa.default_memory_pool().release_unused()
 
 
 def _p(count: str, total: str, v: str):

@@ -1,5 +1,11 @@
+import subprocess
+import sys
+from collections import Counter
+from pathlib import Path
+
 import duckdb
 import pandas as pd
+import pyarrow as pa
 
 from docpipe.llm import divergence
 from docpipe.llm.oracle import ORACLE
@@ -52,3 +58,40 @@ def test_long_text_and_many_repeats(spark):
     rows = [(i, ("alpha beta " * 20000) if i == 0 else "alpha gamma beta", "en", f"s{i % 3}") for i in range(9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     pd.testing.assert_frame_equal(_sorted(divergence.audit(df).toPandas()), _sorted(_oracle(rows)))
+
+
+LARGE = """
+import pyarrow as pa
+from docpipe.llm import divergence
+
+texts = [" ".join(f"w{chr(97 + (i + j) % 26)}{chr(97 + j % 7)}" for j in range(1_000)) for i in range(1_000)]
+batch = pa.RecordBatch.from_pydict({"lang": ["en", None] * 500, "source": ["a"] * 1_000, "text": texts})
+"""
+
+
+def test_a_large_batch_gives_one_row_per_group_and_term():
+    scope = {}
+    exec(LARGE, scope)
+    want_n, want_docs = Counter(), Counter()
+    for i, text in enumerate(scope["texts"]):
+        words = text.split()
+        want_n.update(("" if i % 2 else "en", w) for w in words)
+        want_docs.update(("" if i % 2 else "en", w) for w in set(words))
+    rows = [r for part in divergence._partial_counts(iter([scope["batch"]])) for r in part.to_pylist()]
+    counts = [r for r in rows if r["term"] is not None]
+    assert {(r["lang"], r["term"]): r["n"] for r in counts} == dict(want_n)
+    assert {(r["lang"], r["term"]): r["n_docs"] for r in counts} == dict(want_docs)
+    assert len(counts) == len(want_n)
+    assert sorted(r["lang"] for r in rows if r["term"] is None) == ["", "en"]
+
+
+def test_terms_of_a_large_batch_are_listed_in_slices():
+    # 4 MB of texts in one batch, a million terms, never all of them in memory at once.
+    run = LARGE + """
+before = pa.total_allocated_bytes()
+rows = sum(part.num_rows for part in divergence._partial_counts(iter([batch])))
+print(pa.default_memory_pool().max_memory() - before)
+"""
+    peak = int(subprocess.run([sys.executable, "-c", run], capture_output=True, check=True, text=True,
+                              cwd=Path(__file__).parents[2]).stdout)
+    assert peak < 32 << 20
