@@ -40,7 +40,8 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document that is left, and the digest of the bytes they decode to: doc_id, n_tokens,
     ids, offsets (bytes), decoded_sha256."""
     ship_package(spark)
-    encoded = bpe.encode(docs, "text", tokenizer_path(), keep=["doc_id"])
+    # Written in between: chained, a task would hold two Python workers, one for each direction.
+    encoded = stored(bpe.encode(docs, "text", tokenizer_path(), keep=["doc_id"]), "encoded")
     decoded = bpe.decode(encoded, "ids", tokenizer_path(), keep=["doc_id", "ids", "offsets"])
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "offsets",
                           F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -23,7 +23,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -40,6 +40,7 @@ CACHE_BITS = 20
 CACHE_PIECES = 500_000
 CACHE_LONG_BYTES = 8_000_000
 LOCKSTEP_BYTES = 64
+DECODE_TOKENS = 1 << 15
 SCAN_BLOCK = 256
 
 OTHER, LETTER, NUMBER, SPACE, BLANK, APOSTROPHE = range(6)
@@ -240,17 +241,27 @@ class Vocabulary:
         if missing:
             raise ValueError(f"the vocabulary has no token for the bytes {missing[:5]}")
         self.single = np.array([tokens[bytes([b])] for b in range(256)], np.int64)
-        pairs = {}
+        # Made by the first text to encode: a worker that only decodes does without them.
+        self.count: np.ndarray | None = None
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        """The token that two tokens merge to."""
+        tokens, pairs = self.ids, {}
         for token, i in tokens.items():
             for cut in range(1, len(token)):
                 left, right = tokens.get(token[:cut]), tokens.get(token[cut:])
                 if left is not None and right is not None:
                     pairs[left << 32 | right] = i
-        self.pairs = pairs
+        return pairs
+
+    @cached_property
+    def pair_table(self) -> Table:
+        pairs = self.pairs
         keys = np.fromiter(pairs, np.uint64, len(pairs))
-        self.pair_table = Table(max(4, (4 * len(pairs)).bit_length()))
-        self.pair_table.add(keys, np.ones_like(keys), np.fromiter(pairs.values(), np.int32, len(pairs)))
-        self._empty_cache()
+        table = Table(max(4, (4 * len(pairs)).bit_length()))
+        table.add(keys, np.ones_like(keys), np.fromiter(pairs.values(), np.int32, len(pairs)))
+        return table
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -342,7 +353,7 @@ class Vocabulary:
 
     def _pieces(self, text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The cache number of every piece of ``text``; pieces not held yet are merged first."""
-        if len(self.count) > CACHE_PIECES or self.long_bytes > CACHE_LONG_BYTES:
+        if self.count is None or len(self.count) > CACHE_PIECES or self.long_bytes > CACHE_LONG_BYTES:
             self._empty_cache()
         at = np.full(len(starts), -1, np.int64)
         data = np.frombuffer(text + bytes(16), np.uint8)
@@ -410,11 +421,15 @@ class Vocabulary:
         """The bytes of all ids in a row, and the bounds of each id in them."""
         if len(ids) and (ids.min() < 0 or ids.max() >= self.size or not self.known[ids].all()):
             raise ValueError("an id is not in the vocabulary")
-        lengths = self.lengths[ids]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        out = self.bytes[np.repeat(self.places[ids] - (ends - lengths), lengths) + np.arange(total)]
-        return out, np.concatenate([[0], ends])
+        ends = np.cumsum(self.lengths[ids])
+        # A place is kept for every byte of a stretch, eight times its size.
+        out = [np.zeros(0, np.uint8)]
+        for start in range(0, len(ids), DECODE_TOKENS):
+            some = ids[start:start + DECODE_TOKENS]
+            lengths = self.lengths[some]
+            stops = np.cumsum(lengths)
+            out.append(self.bytes[np.repeat(self.places[some] - (stops - lengths), lengths) + np.arange(stops[-1])])
+        return np.concatenate(out), np.concatenate([[0], ends])
 
 
 def encode(df: DataFrame, text: str, path: str, keep: list[str] | None = None, ids: str = "ids",

@@ -81,3 +81,16 @@ def test_empty_and_null(spark, documents, vocabulary_path):
     assert bpe.encode(documents([]), "text", vocabulary_path).count() == 0
     ids = spark.createDataFrame([(1, None), (2, [])], "k int, ids array<int>")
     assert {bytes(r["decoded"]) for r in bpe.decode(ids, "ids", vocabulary_path).collect()} == {b""}
+
+
+def test_decoding_needs_no_merge_tables():
+    # Encoding and decoding run in workers of their own; only the first holds merges and merged pieces.
+    tokens = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abab": 257}
+    vocabulary = bpe.Vocabulary(tokens)
+    ids = np.array([257, 256, 99] * (bpe.DECODE_TOKENS // 2))
+    data, ends = vocabulary.decode(ids)
+    assert data.tobytes() == b"abababc" * (bpe.DECODE_TOKENS // 2)
+    assert len(ends) == len(ids) + 1 and ends[-1] == len(data)
+    assert not {"pairs", "pair_table", "short", "pool"} & set(vars(vocabulary))
+    found, bounds = vocabulary.encode(["ababab", "", "c"])
+    assert found.tolist() == [257, 256, 99] and bounds.tolist() == [0, 2, 2, 3]

@@ -104,3 +104,11 @@ def test_tokens_decode_to_the_text(spark, tables):
     got = corpus_pipeline.tokens(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder).collect()
     assert {r["doc_id"]: r["decoded_sha256"] for r in got} == {
         i: hashlib.sha256((t or "").encode()).hexdigest() for i, t, _ in rows}
+
+
+def test_no_task_of_the_token_stage_holds_two_python_workers(spark):
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (3, "")], "doc_id long, text string")
+    out = corpus_pipeline.tokens(spark, docs, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    assert {r["doc_id"]: r["n_tokens"] for r in out.collect()} == {1: 2, 2: 0, 3: 0}
