@@ -104,15 +104,30 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _p(count: str, total: str, v: str):
-    """``1 + floor(SCALE * (count + 1) / (total + v))`` by integer division of decimals, which does
-    not overflow at any corpus size; p is at most SCALE + 1."""
-    return F.expr(f"1 + (CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 1 AS DECIMAL(38,0))) "
-                  f"div CAST({total} + {v} AS DECIMAL(38,0))")
+    """``1 + floor(SCALE * (count + 1) / (total + v))`` by integer division: in longs while the product
+    fits one, else in decimals, which do not overflow at any corpus size; p is at most SCALE + 1."""
+    return F.expr(f"1 + CASE WHEN {count} < 9000000000 THEN "
+                  f"(CAST({SCALE} AS BIGINT) * CAST({count} + 1 AS BIGINT)) div CAST({total} + {v} AS BIGINT) "
+                  f"ELSE (CAST({SCALE} AS DECIMAL(38,0)) * CAST({count} + 1 AS DECIMAL(38,0))) "
+                  f"div CAST({total} + {v} AS DECIMAL(38,0)) END")
+
+
+def _f_long(p: str, q: str):
+    """``floor((p - q)^2 / q)`` as a long: with p and q from 1 to SCALE + 1 it is at most SCALE squared,
+    so three of them still fit one."""
+    return F.expr(f"(({p}) - ({q})) * (({p}) - ({q})) div ({q})")
 
 
 def _f(p: str, q: str):
-    """``floor((p - q)^2 / q)`` as an exact integer division; (p - q)^2 fits a long for p, q <= SCALE + 1."""
-    return F.expr(f"CAST((({p}) - ({q})) * (({p}) - ({q})) div ({q}) AS DECIMAL(38,0))")
+    """The same as a decimal, to be summed or weighted without overflow."""
+    return _f_long(p, q).cast("decimal(38,0)")
+
+
+def _exact_sum(value: str):
+    """Sum of a long column as a decimal: its upper and lower parts are summed as longs, which is much
+    cheaper per row than a sum of decimals and as exact."""
+    upper, lower = F.sum(F.shiftright(value, 30)), F.sum(F.col(value).bitwiseAND(F.lit((1 << 30) - 1)))
+    return upper.cast("decimal(27,0)") * F.lit(1 << 30).cast("decimal(10,0)") + lower.cast("decimal(38,0)")
 
 
 def _ranked(df: DataFrame, keep: int | None) -> DataFrame:
@@ -159,7 +174,10 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
     both = g.join(h, (F.col("g.lang") == F.col("h.lang")) & (F.col("g.term") == F.col("h.term"))
                   & (F.col("g.source") != F.col("h.source"))).select(
         F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), F.col("h.source").alias("item"),
-        (_f("g.p", "h.p") - _f("g.p", "h.zero") - _f("g.zero", "h.p")).alias("value"), F.lit(1).alias("common"))
+        (_f_long("g.p", "h.p") - _f_long("g.p", "h.zero") - _f_long("g.zero", "h.p")).alias("value"))
+    # Summed as longs; only the sums, one per pair, meet the other parts as decimals.
+    both = both.groupBy("lang", "source", "item").agg(
+        _exact_sum("value").cast("decimal(38,0)").alias("value"), F.count("*").alias("common"))
     # ... terms of g against h's zero p, in both directions (g's side for (g, h), h's side for (h, g)) ...
     # Terms of equal count in a group have equal p, so each distinct p of g meets h's zero p once,
     # weighted by how many terms have it (a group has far fewer distinct counts than terms).
@@ -172,7 +190,7 @@ def audit(docs: DataFrame, lang: str = "lang", source: str = "source", text: str
         F.struct(F.col("other").alias("source"), F.col("source").alias("item"),
                  (F.col("k") * _f("other_zero", "p")).alias("value"))))
     one_sided = spread.select("lang", sides_of.alias("s")).select(
-        "lang", "s.source", "s.item", "s.value", F.lit(0).alias("common"))
+        "lang", "s.source", "s.item", "s.value", F.lit(0).cast("long").alias("common"))
     listed = both.unionByName(one_sided).groupBy("lang", "source", "item").agg(
         F.sum("value").alias("listed"), F.sum("common").alias("common"))
     # ... and the terms in neither, each worth f(zero_g, zero_h).

@@ -95,3 +95,15 @@ print(pa.default_memory_pool().max_memory() - before)
     peak = int(subprocess.run([sys.executable, "-c", run], capture_output=True, check=True, text=True,
                               cwd=Path(__file__).parents[2]).stdout)
     assert peak < 32 << 20
+
+
+def test_sums_and_shares_past_a_long(spark):
+    top = 10 ** 18
+    rows = spark.createDataFrame([(1, v) for v in [top] * 30 + [-2 * top, -1, 0]] + [(2, -1)], "k int, value long")
+    sums = dict(rows.groupBy("k").agg(divergence._exact_sum("value")).collect())
+    assert {k: int(v) for k, v in sums.items()} == {1: 28 * top - 1, 2: -1}
+    cases = [(0, 1, 0), (9, 100, 7), (8_999_999_999, 9 * 10 ** 9, 5), (10 ** 12, 3 * 10 ** 12, 10)]
+    got = spark.createDataFrame(cases, "n long, total long, v long").select(
+        "n", divergence._p("n", "total", "v").alias("p"))
+    assert {r["n"]: r["p"] for r in got.collect()} == {
+        n: 1 + 10 ** 9 * (n + 1) // (total + v) for n, total, v in cases}
