@@ -7,7 +7,7 @@ appending pieces while the total stays within the limit, and scans the text once
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -144,38 +144,47 @@ def sentences_within(text: Column, max_tokens: int) -> Column:
 
 
 def group_sentences(
-    parts: Column, likeness: Column, min_tokens: int, max_tokens: int, threshold: float
+    parts: Column, likeness: Callable[[Column], Column], min_tokens: int, max_tokens: int, threshold: float
 ) -> Column:
     """Greedy semantic grouping -> array of (text, token_count, sentences).
 
-    ``likeness`` compares every sentence with the one before it. A chunk closes when the next
-    sentence would pass ``max_tokens``, or when it holds at least ``min_tokens`` and the next
-    sentence is less like the one before it than ``threshold``. An unknown likeness never cuts.
+    ``likeness`` compares the sentence at a 0-based place with the one before it; it is asked only
+    where the answer counts. A chunk closes when the next sentence would pass ``max_tokens``, or when
+    it holds at least ``min_tokens`` and the next sentence is less like the one before it than
+    ``threshold``. An unknown likeness never cuts.
+
+    The fold keeps the places where chunks begin, no texts, and appends them run by run.
     """
-    chunk = "struct<text:string,token_count:int,sentences:array<string>>"
-    items = F.zip_with(parts, likeness, lambda part, like: struct_of(
-        part=part, n=token_count(part), likeness=F.round(like, 6)))
-
-    def one(item: Column) -> Column:
-        return struct_of(text=item["part"], token_count=item["n"], sentences=F.array(item["part"]))
-
-    def add(state: Column, item: Column) -> Column:
-        current = state["current"]
-        full = current["token_count"] + item["n"] > max_tokens
-        shift = (current["token_count"] >= min_tokens) & (item["likeness"] < threshold)
-        joined = struct_of(
-            text=F.concat(current["text"], item["part"]),
-            token_count=current["token_count"] + item["n"],
-            sentences=F.concat(current["sentences"], F.array(item["part"])),
-        )
-        return F.when(
-            current.isNull(), struct_of(done=state["done"], current=one(item))
-        ).when(
-            full | F.coalesce(shift, F.lit(False)),
-            struct_of(done=F.concat(state["done"], F.array(current)), current=one(item)),
-        ).otherwise(struct_of(done=state["done"], current=joined))
-
-    start = struct_of(done=F.array().cast(f"array<{chunk}>"), current=F.lit(None).cast(chunk))
-    return F.aggregate(items, start, add, lambda state: F.when(
-        state["current"].isNull(), state["done"]
-    ).otherwise(F.concat(state["done"], F.array(state["current"]))))
+    def begins(counts: Column) -> Column:
+        def add(state: Column, at: Column) -> Column:
+            return let(F.get(counts, at), lambda n: F.when(
+                (at == 0) | (state["n"] + n > max_tokens)
+                | ((state["n"] >= min_tokens)
+                   & F.coalesce(F.round(likeness(at), 6) < threshold, F.lit(False))),
+                struct_of(n=n, starts=F.concat(state["starts"], F.array(at))),
+            ).otherwise(struct_of(n=state["n"] + n, starts=state["starts"])))
+
+        def add_run(state: Column, first: Column) -> Column:
+            last = F.least(first + (RUN - 1), F.size(counts) - 1)
+            start = struct_of(n=state["n"], starts=F.array().cast("array<int>"))
+            return let(F.aggregate(F.sequence(first, last), start, add), lambda run: struct_of(
+                n=run["n"], starts=F.concat(state["starts"], run["starts"])))
+
+        runs = F.sequence(F.lit(0), F.size(counts) - 1, F.lit(RUN))
+        none = struct_of(n=F.lit(0), starts=F.array().cast("array<int>"))
+        return F.aggregate(runs, none, add_run, lambda state: state["starts"])
+
+    def group(parts: Column, counts: Column) -> Column:
+        def chunk(at: Column, size: Column) -> Column:
+            return struct_of(
+                text=F.array_join(F.slice(parts, at + 1, size), ""),
+                token_count=F.aggregate(F.slice(counts, at + 1, size), F.lit(0), lambda total, n: total + n),
+                sentences=F.slice(parts, at + 1, size),
+            )
+
+        return let(begins(counts), lambda starts: F.transform(starts, lambda at, k: chunk(
+            at, F.coalesce(F.get(starts, k + 1), F.size(parts)) - at)))
+
+    chunks = "array<struct<text:string,token_count:int,sentences:array<string>>>"
+    return let(parts, lambda parts: F.when(F.size(parts) == 0, F.array().cast(chunks)).when(
+        parts.isNotNull(), let(F.transform(parts, token_count), lambda counts: group(parts, counts))))

@@ -31,17 +31,20 @@ def _bucket_counts(ordered: Column) -> Column:
 
 def hashed_vector(text: Column, width: int = DEFAULT_WIDTH) -> Column:
     """L2-normalised bucket counts as array<float>; null for text without words."""
-    def counts(ordered: Column) -> Column:
-        """Dense counts."""
-        return let(F.map_from_entries(_bucket_counts(ordered)), lambda n: F.transform(
-            F.sequence(F.lit(0), F.lit(width - 1)),
-            lambda bucket: F.coalesce(n[bucket], F.lit(0)).cast("double")))
+    def counts(buckets: Column) -> Column:
+        """Dense counts: with every bucket added once, the runs of the sorted list are the buckets."""
+        every = F.sort_array(F.concat(buckets, F.sequence(F.lit(0), F.lit(width - 1))))
+        return let(every, lambda ordered: let(
+            F.filter(F.sequence(F.lit(0), F.size(ordered) - 1),
+                     lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))),
+            lambda starts: F.transform(starts, lambda at, k: (
+                F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at - 1).cast("double"))))
 
     def normalised(values: Column) -> Column:
         return let(norm(values), lambda n: F.transform(values, lambda v: (v / n).cast("float")))
 
-    return let(F.sort_array(word_buckets(text, width)), lambda ordered: F.when(
-        F.size(ordered) > 0, let(counts(ordered), normalised)))
+    return let(word_buckets(text, width), lambda buckets: F.when(
+        F.size(buckets) > 0, let(counts(buckets), normalised)))
 
 
 def dot(a: Column, b: Column) -> Column:

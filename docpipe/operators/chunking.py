@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpipe.functions import text as t
-from docpipe.functions.columns import struct_of
+from docpipe.functions.columns import let, struct_of
 from docpipe.functions.vectors import neighbour_cosine, neighbour_word_cosine
 
 
@@ -63,12 +63,16 @@ def chunk_semantic(
     shuffled.
     """
     cut = docs.withColumn("_parts", t.sentences_within(F.col(text_col), max_tokens))
+    parts = F.col("_parts")
     if embed_sentences is None:
-        likeness = neighbour_word_cosine(F.col("_parts"))
+        # Two sentences at a time, where a chunk could end: most places are never compared.
+        grouped = let(parts, lambda parts: t.group_sentences(
+            parts, lambda at: F.get(neighbour_word_cosine(F.slice(parts, at, F.lit(2))), F.lit(1)),
+            min_tokens, max_tokens, threshold))
     else:
-        cut = cut.withColumn("_vectors", embed_sentences(F.col("_parts")))
-        likeness = neighbour_cosine(F.col("_vectors"))
-    grouped = t.group_sentences(F.col("_parts"), likeness, min_tokens, max_tokens, threshold)
+        cut = cut.withColumn("_vectors", embed_sentences(parts))
+        grouped = let(neighbour_cosine(F.col("_vectors")), lambda likeness: t.group_sentences(
+            parts, lambda at: F.get(likeness, at), min_tokens, max_tokens, threshold))
     kept = [c for c in docs.columns if c != text_col]
     cut = cut.withColumn("_groups", grouped)
     spans = t.with_offsets(F.transform("_groups", lambda g: g["text"]))

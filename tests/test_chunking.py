@@ -223,3 +223,21 @@ def test_offsets_of_many_chunks(spark):
         assert len(got[str(i)]) == (len(text) + 9) // 10
         assert all(text[c["start_index"]:c["end_index"]] == c["text"] for c in got[str(i)])
         assert got[str(i)][-1]["end_index"] == len(text)
+
+
+def test_likeness_is_asked_only_where_it_counts(spark):
+    """Below the least size and over the largest one the answer is known; a fold keeps places, not texts."""
+    parts = F.array(*[F.lit(f"a{i} b{i}. ") for i in range(600)])
+    like = lambda at: F.when(at % 3 == 0, 0.0).otherwise(
+        F.raise_error(F.concat(F.lit("asked at "), at.cast("string"))).cast("double"))
+    grouped = t.group_sentences(parts, like, 6, 100, 0.5)
+    got = spark.range(1).select(F.explode(grouped)).select("col.*").collect()
+    assert [r.token_count for r in got] == [6] * 200
+    assert "".join(r.text for r in got) == "".join(f"a{i} b{i}. " for i in range(600))
+    never = lambda at: F.raise_error(F.lit("asked")).cast("double")
+    full = spark.range(1).select(t.group_sentences(parts, never, 11, 10, 0.5).alias("g")).first().g
+    assert [len(g.sentences) for g in full] == [5] * 120
+    none = spark.range(1).select(
+        t.group_sentences(F.array().cast("array<string>"), never, 1, 2, 0.5).alias("empty"),
+        t.group_sentences(F.lit(None).cast("array<string>"), never, 1, 2, 0.5).alias("null")).first()
+    assert none.empty == [] and none.null is None
