@@ -42,6 +42,7 @@ CACHE_LONG_BYTES = 8_000_000
 LOCKSTEP_BYTES = 64
 DECODE_TOKENS = 1 << 15
 SCAN_BLOCK = 256
+CLASS_BLOCK = 0x800
 
 OTHER, LETTER, NUMBER, SPACE, BLANK, APOSTROPHE = range(6)
 # What a character does: letter, number, other; the blank that joins the next word; a single white
@@ -125,12 +126,14 @@ def _prefix(functions: np.ndarray) -> np.ndarray:
 def _classes() -> np.ndarray:
     """The class of every code point."""
     table = np.full(0x110000, OTHER, np.uint8)
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    every = "".join(map(chr, points))
-    for pattern, name in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
-        for found in regex.finditer(pattern, every):
-            table[points[found.start()]:points[found.end() - 1] + 1] = name
-    table[0xD800:0xE000] = OTHER
+    # Block by block: every code point at once would take each worker some 120 MB for a moment.
+    for start in range(0, len(table), CLASS_BLOCK):
+        if 0xD800 <= start < 0xE000:
+            continue
+        every = "".join(map(chr, range(start, start + CLASS_BLOCK)))
+        for pattern, name in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMBER), (r"\s+", SPACE)):
+            for found in regex.finditer(pattern, every):
+                table[start + found.start():start + found.end()] = name
     # Not white space to the splitting rule, though this library's \s has them.
     table[0x1C:0x20] = OTHER
     table[ord(" ")], table[ord("'")] = BLANK, APOSTROPHE
@@ -461,7 +464,10 @@ def decode(df: DataFrame, ids: str, path: str, keep: list[str] | None = None, de
     """``df`` (or its columns ``keep``) with the bytes that the ids stand for."""
     kept = df.columns if keep is None else keep
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary.read(path))
-    source, = fresh(df, "ids_to_decode")
+    # Ids that are kept are sent to Python once.
+    source = ids if ids in kept else fresh(df, "ids_to_decode")[0]
+    sent = [df[c] for c in kept] + ([] if source in kept else [F.col(ids).alias(source)])
+    at = [*kept, source].index(source)
     schema = df.select(*kept, F.lit(b"").alias(decoded)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,7 +475,7 @@ def decode(df: DataFrame, ids: str, path: str, keep: list[str] | None = None, de
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                lists = batch.column(len(kept))
+                lists = batch.column(at)
                 sizes = np.array([len(x) if x.is_valid else 0 for x in lists], np.int64)
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 found, ends = vocabulary.decode(flat.astype(np.int64))
@@ -479,4 +485,4 @@ def decode(df: DataFrame, ids: str, path: str, keep: list[str] | None = None, de
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i) for i in range(len(kept))), column], names=[*kept, decoded])
 
-    return df.select(*[df[c] for c in kept], F.col(ids).alias(source)).mapInArrow(run, schema)
+    return df.select(*sent).mapInArrow(run, schema)

@@ -1,11 +1,14 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docpipe.llm import bpe
+from tests.conftest import plan_of
 
 ALPHABET = "ab s t'  \n\t\r1290é'rvelmd!?.,— 　\x1c\x85中文١Ⅷ'sS😀"
 
@@ -94,3 +97,35 @@ def test_decoding_needs_no_merge_tables():
     assert not {"pairs", "pair_table", "short", "pool"} & set(vars(vocabulary))
     found, bounds = vocabulary.encode(["ababab", "", "c"])
     assert found.tolist() == [257, 256, 99] and bounds.tolist() == [0, 2, 2, 3]
+
+
+def test_classes_are_made_in_little_memory():
+    tracemalloc.start()
+    try:
+        table = bpe._classes.__wrapped__()
+        assert tracemalloc.get_traced_memory()[1] < 8_000_000
+    finally:
+        tracemalloc.stop()
+    assert [table[ord(c)] for c in "aZé1 '\t\x1c.中😀\ud800"] == [
+        bpe.LETTER, bpe.LETTER, bpe.LETTER, bpe.NUMBER, bpe.BLANK, bpe.APOSTROPHE, bpe.SPACE, bpe.OTHER,
+        bpe.OTHER, bpe.LETTER, bpe.OTHER, bpe.OTHER]
+
+
+def test_kept_ids_are_sent_once(spark, vocabulary_path, vocabulary):
+    ids = vocabulary.encode(["two words"])[0].tolist()
+    df = spark.createDataFrame([(1, ids), (2, None), (3, [])], "k long, ids array<int>")
+    for keep in (["k", "ids"], ["ids", "k"], ["k"]):
+        out = bpe.decode(df, "ids", vocabulary_path, keep=keep)
+        assert out.columns == [*keep, "decoded"]
+        assert ("ids_to_decode" in plan_of(out)) == ("ids" not in keep)
+        got = {r["k"]: bytes(r["decoded"]) for r in out.collect()}
+        assert got == {1: b"two words", 2: b"", 3: b""}
+
+
+def test_workers_and_scans_hold_little(spark):
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "4m"
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "512"
+    texts = spark.range(64).selectExpr("repeat('x', 1000000) AS text").coalesce(1)
+    rows = texts.mapInArrow(lambda batches: (
+        pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]}) for batch in batches), "bytes long").collect()
+    assert max(r.bytes for r in rows) < 8_000_000
