@@ -330,29 +330,78 @@ class Vocabulary:
                 out[i] = self._merge_long(piece)
             else:
                 short.append(i)
-        if not short:
-            return out
-        sizes = np.array([len(pieces[i]) for i in short])
-        ids = self.single[np.frombuffer(b"".join([pieces[i] for i in short]), np.uint8)]
-        owner = np.repeat(np.array(short), sizes)
+        if short:
+            sizes = np.array([len(pieces[i]) for i in short])
+            ids, counts = self._lockstep(np.frombuffer(b"".join([pieces[i] for i in short]), np.uint8), sizes)
+            ends = np.cumsum(counts)
+            for i, a, b in zip(short, (ends - counts).tolist(), ends.tolist(), strict=True):
+                out[i] = ids[a:b].tolist()
+        return out
+
+    def _lockstep(self, data: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces (their bytes in a row, none of them empty) in a row, and how many each has."""
+        ids, owner = self.single[data], np.repeat(np.arange(len(sizes)), sizes)
+        done_ids, done_owner = [ids[:0]], [owner[:0]]
+
+        def ranked(at: np.ndarray) -> np.ndarray:
+            """The rank of the pair that begins at each place; ``self.size`` if there is none."""
+            found = self.merge_rank(ids[at], ids[np.minimum(at + 1, len(ids) - 1)])
+            return np.where((at + 1 < len(ids)) & (owner[np.minimum(at + 1, len(ids) - 1)] == owner[at]),
+                            found, self.size)
+
+        rank = ranked(np.arange(len(ids)))
         while len(ids):
             starts = np.flatnonzero(np.diff(owner, prepend=-1))
-            last = np.append(starts[1:], len(ids)) - 1
-            rank = self.merge_rank(ids, np.append(ids[1:], 0))
-            rank[last] = self.size
-            low = np.minimum.reduceat(rank, starts)
             width = np.diff(np.append(starts, len(ids)))
-            at = np.flatnonzero((rank == np.repeat(low, width)) & (rank < self.size))
-            done = low == self.size
-            if done.any():
-                for a, b in zip(starts[done].tolist(), last[done].tolist(), strict=True):
-                    out[owner[a]] = ids[a:b + 1].tolist()
+            low = np.minimum.reduceat(rank, starts)
+            done = np.repeat(low == self.size, width)
+            done_ids.append(ids[done])
+            done_owner.append(owner[done])
+            at = np.flatnonzero((rank == np.repeat(low, width)) & ~done)
             at = at[np.flatnonzero(np.diff(owner[at], prepend=-1))]
             ids[at] = rank[at]
-            keep = ~np.repeat(done, width)
+            keep = ~done
             keep[at + 1] = False
-            ids, owner = ids[keep], owner[keep]
-        return out
+            place = np.cumsum(keep)[at] - 1
+            ids, owner, rank = ids[keep], owner[keep], rank[keep]
+            # Only the pairs that a merged one is part of have changed.
+            before = place[place > 0] - 1
+            changed = np.concatenate([place, before[owner[before] == owner[before + 1]]])
+            rank[changed] = ranked(changed)
+        ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
+        return ids[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(sizes))
+
+    @cached_property
+    def token_table(self) -> Table:
+        """The id of every token that is its own key."""
+        tokens = [t for t in self.ids if 0 < len(t) <= KEY_BYTES]
+        lengths = np.array([len(t) for t in tokens], np.int64)
+        table = Table(max(4, (2 * len(tokens)).bit_length()))
+        table.add(*_keys(np.frombuffer(b"".join(tokens) + bytes(16), np.uint8), np.cumsum(lengths) - lengths, lengths),
+                  np.array([self.ids[t] for t in tokens], np.int32))
+        return table
+
+    def _merge_keyed(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, first: np.ndarray,
+                     second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are their own keys, in a row, and how many each has."""
+        whole = self.token_table.find(first, second).astype(np.int64)
+        rest = np.flatnonzero(whole < 0)
+        counts = np.ones(len(starts), np.int64)
+        lengths = sizes[rest]
+        ends = np.cumsum(lengths)
+        places = np.repeat(starts[rest] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+        ids, counts[rest] = self._lockstep(data[places], lengths)
+        out = np.repeat(whole, counts)
+        out[out < 0] = ids
+        return out, counts
+
+    def _hold(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Adds merged pieces to the cache; their numbers."""
+        numbers = len(self.count) + np.arange(len(counts))
+        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(counts) - counts])
+        self.count = np.concatenate([self.count, counts])
+        self.pool = np.concatenate([self.pool, ids.astype(np.int32)])
+        return numbers
 
     def _pieces(self, text: bytes, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """The cache number of every piece of ``text``; pieces not held yet are merged first."""
@@ -362,30 +411,27 @@ class Vocabulary:
         data = np.frombuffer(text + bytes(16), np.uint8)
         short = np.flatnonzero(sizes <= KEY_BYTES)
         first, second = _keys(data, starts[short], sizes[short])
-        at[short] = self.short.find(first, second)
+        at[short] = found = self.short.find(first, second)
+        if len(missed := np.flatnonzero(found < 0)):
+            # Equal keys side by side; should two keys share a hash, one may be held twice, with the same ids.
+            missed = missed[np.argsort(first[missed] ^ second[missed] * np.uint64(0x9E3779B97F4A7C15))]
+            a, b = first[missed], second[missed]
+            new = np.ones(len(missed), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            one = short[missed[new]]
+            numbers = self._hold(*self._merge_keyed(data, starts[one], sizes[one], a[new], b[new]))
+            at[short[missed]] = numbers[np.cumsum(new) - 1]
+            self.short.add(a[new], b[new], numbers.astype(np.int32))
         long = np.flatnonzero(sizes > KEY_BYTES)
         names = [text[a:a + n] for a, n in zip(starts[long].tolist(), sizes[long].tolist(), strict=True)]
         at[long] = np.fromiter(map(self.long.get, names, repeat(-1)), np.int64, len(names))
-        missed = np.flatnonzero(at < 0)
-        if not len(missed):
-            return at
-        names = [text[a:a + n] for a, n in zip(starts[missed].tolist(), sizes[missed].tolist(), strict=True)]
-        number = {name: i for i, name in enumerate(dict.fromkeys(names), len(self.count))}
-        merged = self.merge(list(number))
-        counts = np.array([len(m) for m in merged], np.int64)
-        self.first = np.concatenate([self.first, len(self.pool) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.pool = np.concatenate([self.pool, np.array([i for m in merged for i in m], np.int32)])
-        at[missed] = [number[name] for name in names]
-        new = [name for name in number if len(name) > KEY_BYTES]
-        self.long.update((name, number[name]) for name in new)
-        self.long_bytes += sum(map(len, new))
-        new = [name for name in number if len(name) <= KEY_BYTES]
+        new = [name for name in dict.fromkeys(names) if name not in self.long]
         if new:
-            lengths = np.array([len(name) for name in new], np.int64)
-            data = np.frombuffer(b"".join(new) + bytes(16), np.uint8)
-            self.short.add(*_keys(data, np.cumsum(lengths) - lengths, lengths),
-                           np.array([number[name] for name in new], np.int32))
+            merged = self.merge(new)
+            numbers = self._hold(np.array([i for m in merged for i in m], np.int64), np.array([len(m) for m in merged]))
+            self.long.update(zip(new, numbers.tolist(), strict=True))
+            self.long_bytes += sum(map(len, new))
+            at[long] = np.fromiter(map(self.long.get, names), np.int64, len(names))
         return at
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:

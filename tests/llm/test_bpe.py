@@ -129,3 +129,18 @@ def test_workers_and_scans_hold_little(spark):
     rows = texts.mapInArrow(lambda batches: (
         pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]}) for batch in batches), "bytes long").collect()
     assert max(r.bytes for r in rows) < 8_000_000
+
+
+def test_new_short_pieces_are_merged_together(tokenizer, vocabulary_path, monkeypatch):
+    # Pieces that are their own keys take no step in Python each; only longer ones are listed.
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeiouthnré") for _ in range(rng.randrange(1, 8))) for _ in range(2000)]
+    texts = [" ".join(words[i:i + 50] + words[:7]) for i in range(0, 2000, 50)]
+    vocabulary = bpe.Vocabulary.read(vocabulary_path)
+    listed = []
+    merge = vocabulary.merge
+    monkeypatch.setattr(vocabulary, "merge", lambda pieces: listed.extend(pieces) or merge(pieces))
+    ids, bounds = vocabulary.encode([*texts, " incomprehensibilities " * 3])
+    wanted = [tokenizer.encode_ordinary(t) for t in [*texts, " incomprehensibilities " * 3]]
+    assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)] == wanted
+    assert sorted(set(listed)) == sorted(listed) and all(len(piece) > bpe.KEY_BYTES for piece in listed)
